@@ -79,11 +79,13 @@ def normalise_text(col: Column, exception_before_lower: bool = False) -> Column:
 
 def words(col: Column) -> Column:
     """Words of a normalised text: blanks separate, a few contractions and ``--`` split."""
-    out = col
-    for head, tail in CONTRACTIONS:
-        out = F.regexp_replace(out, rf"(?iU)\b({head})({tail})\b", " $1 $2 ")
-    out = F.regexp_replace(out, "--", " -- ")
-    return F.filter(F.split(out, SPACES), lambda w: w != "")
+    pairs = "|".join(f"({head})({tail})" for head, tail in CONTRACTIONS)
+    heads = "".join(f"${2 * i + 1}" for i in range(len(CONTRACTIONS)))
+    tails = "".join(f"${2 * i + 2}" for i in range(len(CONTRACTIONS)))
+    # One pass: groups of the other contractions are empty.
+    out = F.regexp_replace(col, rf"(?U)\b(?:{pairs})\b", f" {heads} {tails} ")
+    out = F.replace(out, F.lit("--"), F.lit(" -- "))
+    return F.filter(F.split(out, " "), lambda w: w != "")
 
 
 def keep_words(tokens: Column, stop_words: list[str] | None = None) -> Column:

@@ -8,15 +8,17 @@ similarities follow from cells and counts without listing signal pairs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsignal.config import Config, DEFAULT
-from opsignal.functions.rounding import BIG, mean_of_units, pair_count, pair_product, round_half_up, to_units
+from opsignal.functions.rounding import BIG, from_units, mean_of_units, pair_count, pair_product, round_half_up, to_units
 from opsignal.functions.scoring import confidence
 from opsignal.functions.clock import source_weight
 from opsignal.functions.text import snippet
+from opsignal.operators.evaluate import evaluate_group_counts
 from opsignal.operators.components import connected_components
 from opsignal.operators.ranking import global_rank
 from opsignal.operators.similarity import prefix_index, reaches, side, verify
@@ -91,7 +93,7 @@ def link_signals(
     cells = materialise(
         build_cells(signals, cfg).join(vectors.select("key"), "key", "left_semi"), "cells"
     )
-    pairs = cell_candidates(cells, vectors, threshold)
+    pairs = materialise(cell_candidates(cells, vectors, threshold), "candidates")
     texts = pairs.select("key_a", "key_b").distinct()
     scores = verify(texts, vectors, threshold).select("key_a", "key_b", "cosine")
     crossing = pairs.join(scores, ["key_a", "key_b"]).drop("key_a", "key_b")
@@ -102,32 +104,38 @@ def link_signals(
 def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs of cells of one category with different texts, close in time, that may be similar.
 
-    ``(early, late, n_e, n_l, lo_e, hi_e, lo_l, hi_l, adjacent, key_a, key_b)``.
+    ``(early, late, n_e, n_l, lo_e, hi_e, lo_l, hi_l, adjacent, key_a, key_b)``. The
+    join key is one hash of category, bucket and term, so its rows stay short; a
+    clash of hashes only adds a candidate, and the cells are compared after it.
     """
-    index = cells.select("node", "predicted_category", "bucket", "key", "n", "lo", "hi").join(
-        prefix_index(vectors), "key"
-    )
+    index = cells.select("node", "predicted_category", "bucket", "key").join(prefix_index(vectors), "key")
+
+    def entry(slot: Column) -> Column:
+        return F.xxhash64("predicted_category", slot, "id")
+
+    narrow = index.select(entry(F.col("bucket")).alias("h"), "node", "bucket", "w", "suffix")
     # The earlier side looks at its own bucket and the next one.
-    late = side(index, "b").withColumn("slot", F.explode(F.array(F.col("bucket_b"), F.col("bucket_b") - 1)))
-    same = F.col("bucket_a") == F.col("bucket_b")
-    close = (
-        F.when(same, F.col("key_a") < F.col("key_b"))
-        .otherwise((F.col("key_a") != F.col("key_b")) & (F.col("lo_b") <= F.col("hi_a")))
-    )
-    joined = side(index, "a").join(
-        late,
-        (F.col("predicted_category_a") == F.col("predicted_category_b"))
-        & (F.col("bucket_a") == F.col("slot"))
-        & (F.col("id_a") == F.col("id_b"))
-        & close,
+    both = F.array(entry(F.col("bucket")), entry(F.col("bucket") - 1))
+    late = side(index.select(F.explode(both).alias("h"), "node", "bucket", "w", "suffix"), "b")
+    ordered = F.when(F.col("bucket_a") == F.col("bucket_b"), F.col("node_a") < F.col("node_b")).otherwise(
+        F.col("bucket_a") + 1 == F.col("bucket_b")
     )
-    carried = ["n_a", "n_b", "lo_a", "hi_a", "lo_b", "hi_b"]
-    met = joined.groupBy("node_a", "node_b", "key_a", "key_b").agg(
-        reaches(threshold).alias("_ok"),
-        F.max(~same).alias("adjacent"),
-        *(F.max(c).alias(c) for c in carried),
+    met = (
+        side(narrow, "a")
+        .hint("merge")
+        .join(late, (F.col("h_a") == F.col("h_b")) & ordered)
+        .groupBy("node_a", "node_b")
+        .agg(reaches(threshold).alias("_ok"))
+        .filter("_ok")
     )
-    return met.filter("_ok").select(
+    cell = cells.select("node", "predicted_category", "bucket", "key", "n", "lo", "hi")
+    full = met.join(side(cell, "a"), "node_a").join(side(cell, "b"), "node_b")
+    same = F.col("bucket_a") == F.col("bucket_b")
+    return full.filter(
+        (F.col("predicted_category_a") == F.col("predicted_category_b"))
+        & (F.col("key_a") != F.col("key_b"))
+        & (same | (F.col("lo_b") <= F.col("hi_a")))
+    ).select(
         F.col("node_a").alias("early"),
         F.col("node_b").alias("late"),
         F.col("n_a").alias("n_e"),
@@ -136,7 +144,7 @@ def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> D
         F.col("hi_a").alias("hi_e"),
         F.col("lo_b").alias("lo_l"),
         F.col("hi_b").alias("hi_l"),
-        "adjacent",
+        (~same).alias("adjacent"),
         F.least("key_a", "key_b").alias("key_a"),
         F.greatest("key_a", "key_b").alias("key_b"),
     )
@@ -289,3 +297,102 @@ def group_rows(groups: DataFrame) -> DataFrame:
         "group_id", "predicted_category", "signal_count", "source_types", "time_span_minutes",
         "avg_similarity", "max_anomaly_score", "confidence_score",
     )
+
+
+def gated_pairs(links: Links, members: DataFrame) -> DataFrame:
+    """``(predicted_category, signal_a, signal_b, similarity, pairs)`` per pair of texts.
+
+    Named by the first signals of the texts; ``pairs`` counts the signal pairs that
+    passed all gates, pairs among copies included.
+    """
+    cell = links.cells.select("node", "predicted_category", "key", "n")
+    early = cell.select(F.col("node").alias("early"), "predicted_category", F.col("key").alias("key_e"))
+    late = cell.select(F.col("node").alias("late"), F.col("key").alias("key_l"))
+    between = links.edges.join(early, "early").join(late, "late").select(
+        "predicted_category",
+        F.least("key_e", "key_l").alias("key_a"),
+        F.greatest("key_e", "key_l").alias("key_b"),
+        to_units(F.col("cosine")).alias("units"),
+        "pairs",
+    )
+    inside = cell.filter("n > 1").select(
+        "predicted_category",
+        F.col("key").alias("key_a"),
+        F.col("key").alias("key_b"),
+        F.lit(10_000).cast("bigint").alias("units"),
+        pair_count(F.col("n")).alias("pairs"),
+    )
+    summed = (
+        between.unionByName(inside)
+        .groupBy("predicted_category", "key_a", "key_b", "units")
+        .agg(F.sum("pairs").cast(BIG).alias("pairs"))
+    )
+    named_a = members.select(F.col("key").alias("key_a"), F.col("first_id").alias("a"))
+    named_b = members.select(F.col("key").alias("key_b"), F.col("first_id").alias("b"))
+    return summed.join(named_a, "key_a").join(named_b, "key_b").select(
+        "predicted_category",
+        F.least("a", "b").alias("signal_a"),
+        F.greatest("a", "b").alias("signal_b"),
+        from_units(F.col("units")).alias("similarity"),
+        "pairs",
+    )
+
+
+def group_hint(best: DataFrame, found: Correlation, signals: DataFrame) -> DataFrame:
+    """For each best match the group it is in, else just its category."""
+    members = found.members().select(
+        "signal_id", "group_id", F.col("predicted_category").alias("group_category")
+    )
+    own = signals.select("signal_id", "category")
+    return (
+        best.join(own, "signal_id")
+        .join(members, "signal_id", "left")
+        .withColumn("related_category", F.coalesce("group_category", "category"))
+    )
+
+
+def feed(found: Correlation, categories) -> DataFrame:
+    """Detail rows of the groups of some categories, with the number of true incidents behind each."""
+    heads = found.groups.filter(F.col("predicted_category").isin(*categories)).select(
+        "group_id", "confidence_score", "avg_similarity"
+    )
+    members = found.members().select("group_id", "signal_id", "source_type", "text_snippet", "incident_group")
+    # Incidents per group first as pairs, so a large group is not one task's set.
+    incidents = (
+        members.groupBy("group_id", "incident_group")
+        .agg(F.count("*").alias("n"))
+        .groupBy("group_id")
+        .agg(F.count("incident_group").alias("incidents"))
+    )
+    return (
+        members.join(heads, "group_id")
+        .join(incidents, "group_id")
+        .select(
+            "group_id", "confidence_score", "signal_id", "source_type", "text_snippet", "avg_similarity", "incidents"
+        )
+        .orderBy(F.desc("confidence_score"), "group_id", "signal_id")
+    )
+
+
+def threshold_sweep(links: Links, signals: DataFrame, thresholds) -> DataFrame:
+    """Group quality for several thresholds from one set of scored links.
+
+    ``links`` must have been found for the lowest threshold. Signals are reduced to
+    counts per cell and incident once; every threshold only relabels cells.
+    """
+    wanted = links.cells.select(*_CELL, "node")
+    truth = materialise(
+        links.signals.groupBy(*_CELL, "incident_group").agg(F.count("*").alias("n")).join(wanted, _CELL)
+        .select("node", "incident_group", "n"),
+        "truth",
+    )
+    rows = []
+    for t in thresholds:
+        kept = replace(links, edges=links.edges.filter(F.col("cosine") >= t))
+        labelled = truth.join(group_labels(kept), "node")
+        rows.append(
+            evaluate_group_counts(
+                labelled.groupBy("root", "incident_group").agg(F.sum("n").alias("n")), signals, "root"
+            ).withColumn("threshold", F.lit(float(t)))
+        )
+    return reduce(DataFrame.unionByName, rows)

@@ -27,10 +27,18 @@ def normalise_signals(
     )
 
 
-def vocabulary(df: DataFrame, text_column: str, stop_words: list[str] | None = None) -> DataFrame:
-    """``(form, n)`` of all kept tokens."""
-    tokens = T.tokenise(F.col(text_column), stop_words)
-    return df.select(F.explode(tokens).alias("form")).groupBy("form").agg(F.count("*").alias("n"))
+def with_tokens(
+    df: DataFrame, text_column: str = "normalised_text", stop_words: list[str] | None = None
+) -> DataFrame:
+    """Append ``tokens``, the kept words of ``text_column`` before lemmas."""
+    if text_column not in df.columns:
+        raise KeyError(text_column)
+    return df.withColumn("tokens", T.tokenise(F.col(text_column), stop_words))
+
+
+def vocabulary(df: DataFrame) -> DataFrame:
+    """``(form, n)`` over the ``tokens`` of all rows."""
+    return df.select(F.explode("tokens").alias("form")).groupBy("form").agg(F.count("*").alias("n"))
 
 
 def lemma_table(vocab: DataFrame) -> DataFrame:
@@ -62,38 +70,38 @@ def lemma_table(vocab: DataFrame) -> DataFrame:
     )
 
 
+def with_lemmas(df: DataFrame, lemma: DataFrame, key: str = "signal_id") -> DataFrame:
+    """Replace ``tokens`` by their lemmas from ``lemma(form, lemma)``; ``key`` is unique.
+
+    Only distinct tokens with a noun ending travel to the lemma table, and only
+    those that change come back, as one small map per row.
+    """
+    inflected = F.filter("tokens", lambda w: w.endswith("s") | w.endswith("men"))
+    asked = df.select(key, F.explode(F.array_distinct(inflected)).alias("form"))
+    changes = (
+        asked.join(lemma.select("form", "lemma"), "form")
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_map"))
+    )
+    spelt = F.transform("tokens", lambda w: F.coalesce(F.try_element_at("_map", w), w))
+    return (
+        df.join(changes, key, "left")
+        .withColumn("tokens", F.when(F.col("_map").isNull(), F.col("tokens")).otherwise(spelt))
+        .drop("_map")
+    )
+
+
 def preprocess_signals(
     df: DataFrame,
     text_column: str = "normalised_text",
     lemma: DataFrame | None = None,
     stop_words: list[str] | None = None,
 ) -> DataFrame:
-    """Append ``preprocessed_text`` (and ``tokens``).
-
-    With ``lemma`` (``form, lemma``) the tokens of the distinct texts are looked up
-    by a join and put back in order; without it this is a projection.
-    """
-    if text_column not in df.columns:
-        raise KeyError(text_column)
-    tokens = T.tokenise(F.col(text_column), stop_words)
-    if lemma is None:
-        return df.withColumn("tokens", tokens).withColumn(
-            "preprocessed_text", F.array_join("tokens", " ")
-        )
-    texts = df.select(F.col(text_column).alias("_text")).distinct()
-    pieces = texts.select(
-        F.md5("_text").alias("_key"), F.posexplode(T.tokenise(F.col("_text"), stop_words)).alias("_pos", "form")
-    )
-    spelt = pieces.join(lemma.select("form", "lemma"), "form", "left").groupBy("_key").agg(
-        F.array_sort(
-            F.collect_list(F.struct("_pos", F.coalesce("lemma", "form").alias("_w")))
-        ).alias("_seq")
-    )
-    spelt = spelt.select("_key", F.col("_seq._w").alias("tokens"))
-    out = df.withColumn("_key", F.md5(text_column)).join(spelt, "_key", "left").drop("_key")
-    return out.withColumn(
-        "tokens", F.coalesce("tokens", F.array().cast("array<string>"))
-    ).withColumn("preprocessed_text", F.array_join("tokens", " "))
+    """Append ``tokens`` and ``preprocessed_text``; a projection unless lemmas are given."""
+    out = with_tokens(df, text_column, stop_words)
+    if lemma is not None:
+        out = with_lemmas(out, lemma)
+    return out.withColumn("preprocessed_text", F.array_join("tokens", " "))
 
 
 def _token_array(text_column: str) -> Column:

@@ -122,3 +122,9 @@ def only_left(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
 
 def in_both(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     return left.select(F.col(column).alias("value")).intersect(right.select(F.col(column).alias("value")))
+
+
+def confidence_histogram(groups: DataFrame, bins: int = 14) -> DataFrame:
+    """``(predicted_category, bin, groups)``: equal bins on [0, 1], the last one closed."""
+    at = F.least(F.floor(F.col("confidence_score") * bins), F.lit(bins - 1)).cast("int")
+    return groups.groupBy("predicted_category", at.alias("bin")).agg(F.count("*").alias("groups"))

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 from opsignal.config import Config, DEFAULT
 from opsignal.functions.rounding import from_units, pair_count, pair_product, to_units
-from opsignal.operators.tfidf import text_vectors
+from opsignal.functions.text import feature_terms
+from opsignal.operators.tfidf import (
+    corpus_idf,
+    similarity_weights,
+    term_counts,
+    text_vectors,
+    unit_weights,
+)
 from opsignal.session import materialise
 
 _SLACK = 1e-9
@@ -62,6 +69,7 @@ def similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
     index = prefix_index(vectors)
     candidates = (
         side(index, "a")
+        .hint("merge")
         .join(side(index, "b"), (F.col("id_a") == F.col("id_b")) & (F.col("key_a") < F.col("key_b")))
         .groupBy("key_a", "key_b")
         .agg(reaches(threshold).alias("_ok"))
@@ -84,31 +92,33 @@ def similar_pairs(
     text_column: str = "preprocessed_text",
     cfg: Config = DEFAULT,
 ) -> DataFrame:
-    """All similar signal pairs, one row per pair of distinct texts.
-
-    ``(signal_a, signal_b, similarity, n_pairs, above_threshold)``: the two first
-    signals of each text, the score and the number of signal pairs it holds for.
-    ``signal_a = signal_b`` stands for the pairs among the copies of one text, so
-    copies never multiply rows and no pair is lost.
-    """
+    """All similar signal pairs, one row per pair of distinct texts (see ``named_pairs``)."""
     threshold = cfg.similarity_threshold if threshold is None else threshold
     vectors = materialise(text_vectors(df, threshold, text_column), "vectors")
-    names = text_members(df, text_column)
-    named_a = names.select(F.col("key").alias("key_a"), F.col("first_id").alias("a"), F.col("copies").alias("n_a"))
-    named_b = names.select(F.col("key").alias("key_b"), F.col("first_id").alias("b"), F.col("copies").alias("n_b"))
+    return named_pairs(similar_texts(vectors, threshold), vectors, text_members(df, text_column))
+
+
+def named_pairs(text_pairs: DataFrame, vectors: DataFrame, members: DataFrame) -> DataFrame:
+    """``(signal_a, signal_b, similarity, n_pairs, above_threshold)``.
+
+    The first signals of two texts, their score and the number of signal pairs it
+    holds for. ``signal_a = signal_b`` stands for the pairs among the copies of one
+    text, so copies never multiply rows and no pair is lost.
+    """
+    named_a = members.select(F.col("key").alias("key_a"), F.col("first_id").alias("a"), F.col("copies").alias("n_a"))
+    named_b = members.select(F.col("key").alias("key_b"), F.col("first_id").alias("b"), F.col("copies").alias("n_b"))
     different = (
-        similar_texts(vectors, threshold)
-        .join(named_a, "key_a")
+        text_pairs.join(named_a, "key_a")
         .join(named_b, "key_b")
         .select(
             F.least("a", "b").alias("signal_a"),
             F.greatest("a", "b").alias("signal_b"),
-            F.col("cosine"),
+            "cosine",
             pair_product(F.col("n_a"), F.col("n_b")).alias("n_pairs"),
         )
     )
     copies = (
-        names.filter("copies > 1")
+        members.filter("copies > 1")
         .join(vectors.select("key"), "key", "left_semi")
         .select(
             F.col("first_id").alias("signal_a"),
@@ -124,3 +134,152 @@ def similar_pairs(
         "n_pairs",
         F.lit(True).alias("above_threshold"),
     )
+
+
+def ranked_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs by falling score; equal scores by their ids."""
+    return pairs.orderBy(F.desc("similarity"), "signal_a", "signal_b")
+
+
+def top_k_similar(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str = "item_id", text_column: str = "preprocessed_text"
+) -> DataFrame:
+    """``(query, signal_id, similarity, rank)``: the ``k`` most similar corpus signals per query.
+
+    Both sides use the corpus' term weights. Scores are found per distinct text;
+    the cut to ``k`` texts happens before the shuffle, and of each text only its
+    first ``k`` signals can matter.
+    """
+    weights = unit_weights(similarity_weights(corpus, text_column), "key", F.col("raw"))
+    idf = corpus_idf(corpus, text_column)
+    asked = (
+        term_counts(queries, query_id, feature_terms(F.col(text_column)))
+        .hint("merge")
+        .join(idf, "term")
+        .select(query_id, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    )
+    asked = unit_weights(asked, query_id, F.col("raw")).withColumnRenamed("weight", "w_q")
+    scores = (
+        weights.hint("merge")
+        .join(asked, "term")
+        .groupBy(query_id, "key")
+        .agg(to_units(F.sum(F.col("weight") * F.col("w_q"))).alias("units"))
+    )
+    first = text_members(corpus, text_column).select("key", "first_id")
+    best_texts = Window.partitionBy(query_id).orderBy(F.desc("units"), "first_id")
+    near = scores.join(first, "key").withColumn("_r", F.row_number().over(best_texts)).filter(F.col("_r") <= k)
+    ids = corpus.select("signal_id", F.md5(text_column).alias("key")).join(
+        near.select("key").distinct(), "key", "left_semi"
+    )
+    early = Window.partitionBy("key").orderBy("signal_id")
+    ids = ids.withColumn("_i", F.row_number().over(early)).filter(F.col("_i") <= k)
+    order = Window.partitionBy(query_id).orderBy(F.desc("units"), "signal_id")
+    return (
+        near.select(query_id, "key", "units")
+        .join(ids, "key")
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select(query_id, "signal_id", from_units(F.col("units")).alias("similarity"), "rank")
+    )
+
+
+# --- dense vectors ---------------------------------------------------------------
+
+BLOCK_ROWS = 2048
+
+
+def distinct_vectors(df: DataFrame, vector: str = "embedding", keys: tuple[str, ...] = ()) -> DataFrame:
+    """``(first_id, copies, vector, *keys)``: equal vectors (within ``keys``) become one row."""
+    return df.groupBy(*keys, F.col(vector).alias("vector")).agg(
+        F.min("signal_id").alias("first_id"), F.count("*").alias("copies")
+    )
+
+
+def dense_similar_pairs(
+    df: DataFrame,
+    threshold: float | None = None,
+    vector: str = "embedding",
+    keys: tuple[str, ...] = (),
+    cfg: Config = DEFAULT,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Pairs of equal ``keys`` with cosine >= ``threshold``, in the form of ``named_pairs``.
+
+    Each key's rows are dealt into blocks of about ``block_rows``, and a pair of
+    blocks is one task's matrix product: no task holds more than two blocks however
+    large a key is, work is spread evenly, and only pairs that pass leave it.
+    """
+    threshold = cfg.similarity_threshold if threshold is None else threshold
+    rows = materialise(distinct_vectors(df, vector, keys), "vectors")
+    gate = F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
+    rows = rows.withColumn("gate", gate)
+    blocks = rows.groupBy("gate").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "gate").withColumn("own", F.pmod(F.xxhash64("first_id"), F.col("blocks")).cast("int"))
+    # A row meets every block of its key once, its own included.
+    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "gate",
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        "own",
+        "first_id",
+        "copies",
+        "vector",
+    )
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = pdf["first_id"].to_numpy()
+        copies = pdf["copies"].to_numpy()
+        own = pdf["own"].to_numpy()
+        matrix = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
+        norm = np.linalg.norm(matrix, axis=1, keepdims=True)
+        matrix = np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
+        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
+        left = np.flatnonzero(own == i)
+        right = left if i == j else np.flatnonzero(own == j)
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": [], "cosine": [], "copies_a": [], "copies_b": []})
+        cosine = matrix[left] @ matrix[right].T
+        x, y = np.nonzero(cosine >= threshold)
+        a, b = left[x], right[y]
+        if i == j:
+            keep = a < b
+            x, y, a, b = x[keep], y[keep], a[keep], b[keep]
+        return pd.DataFrame(
+            {"a": ids[a], "b": ids[b], "cosine": cosine[x, y], "copies_a": copies[a], "copies_b": copies[b]}
+        )
+
+    found = sent.groupBy("gate", "i", "j").applyInPandas(
+        multiply, "a string, b string, cosine double, copies_a bigint, copies_b bigint"
+    )
+    different = found.select(
+        F.least("a", "b").alias("signal_a"),
+        F.greatest("a", "b").alias("signal_b"),
+        "cosine",
+        pair_product(F.col("copies_a"), F.col("copies_b")).alias("n_pairs"),
+    )
+    nonzero = F.exists("vector", lambda x: x != 0)
+    copies = rows.filter((F.col("copies") > 1) & nonzero).select(
+        F.col("first_id").alias("signal_a"),
+        F.col("first_id").alias("signal_b"),
+        F.lit(1.0).alias("cosine"),
+        pair_count(F.col("copies")).alias("n_pairs"),
+    )
+    return different.unionByName(copies).select(
+        "signal_a",
+        "signal_b",
+        from_units(to_units(F.col("cosine"))).alias("similarity"),
+        "n_pairs",
+        F.lit(True).alias("above_threshold"),
+    )
+
+
+def resolve_backend(df: DataFrame, wanted: str = "auto", vector: str = "embedding") -> str:
+    """``dense`` if asked for (or auto) and there is a vector column, else ``lexical``."""
+    return "dense" if wanted in ("auto", "dense") and vector in df.columns else "lexical"
+
+
+def similar_pairs_auto(df: DataFrame, threshold: float | None = None, backend: str = "auto") -> DataFrame:
+    """Similar pairs with the backend that is there, named in ``backend_used``."""
+    used = resolve_backend(df, backend)
+    pairs = dense_similar_pairs(df, threshold) if used == "dense" else similar_pairs(df, threshold)
+    return pairs.withColumn("backend_used", F.lit(used))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsignal.config import Config, DEFAULT
 from opsignal.functions.text import feature_terms, ngrams
+from opsignal.session import materialise
 
 
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
@@ -92,35 +93,54 @@ def tfidf_transform(
     return unit_weights(known, key, F.col("raw"))
 
 
-def similarity_postings(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
-    """Similarity flavour on distinct texts: ``(key, copies, term, raw, df)``.
+def text_postings(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
+    """``(key, copies, term, tf)`` of the distinct texts.
 
     Copies of a text are counted before anything is tokenised, so a text that makes
-    up a third of the corpus costs as much as one signal; document frequencies weigh
-    each text by its copies, and ``n`` counts every signal.
+    up a third of the corpus costs as much as one signal.
     """
     texts = (
         df.groupBy(F.col(text_column).alias("_text"))
         .agg(F.count("*").alias("copies"))
         .select(F.md5("_text").alias("key"), "copies", feature_terms(F.col("_text")).alias("_terms"))
     )
-    postings = (
-        texts.select("key", "copies", F.explode("_terms").alias("term"))
+    # The outer form keeps the optimizer from repeating the tokeniser in a filter.
+    return (
+        texts.select("key", "copies", F.explode_outer("_terms").alias("term"))
         .groupBy("key", "copies", "term")
         .agg(F.count("*").alias("tf"))
+        .filter("term IS NOT NULL")
     )
+
+
+def similarity_weights(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
+    """``(key, copies, term, raw, df)``: raw tf times smooth idf over the whole corpus.
+
+    Document frequencies weigh each text by its copies and ``n`` counts every signal.
+    The postings are written once and read by both sides of the join, which is a
+    merge join: postings are far larger than the planner can tell from the texts.
+    """
+    postings = materialise(text_postings(df, text_column), "postings")
     frequency = postings.groupBy("term").agg(F.sum("copies").alias("df"))
     idf = frequency.join(F.broadcast(row_count(df)), F.lit(True)).select(
         "term", "df", smooth_idf(F.col("n"), F.col("df")).alias("idf")
     )
-    return postings.join(idf, "term").select(
+    return postings.hint("merge").join(idf, "term").select(
         "key", "copies", "term", (F.col("tf") * F.col("idf")).alias("raw"), "df"
     )
 
 
+def corpus_idf(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
+    """``(term, df, idf)`` of a corpus, for weighting texts from outside it."""
+    frequency = text_postings(df, text_column).groupBy("term").agg(F.sum("copies").alias("df"))
+    return frequency.join(F.broadcast(row_count(df)), F.lit(True)).select(
+        "term", "df", smooth_idf(F.col("n"), F.col("df")).alias("idf")
+    )
+
+
 def similarity_tfidf(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
     """``(key, term, weight)`` of the distinct texts."""
-    return unit_weights(similarity_postings(df, text_column), "key", F.col("raw"))
+    return unit_weights(similarity_weights(df, text_column), "key", F.col("raw"))
 
 
 def text_vectors(df: DataFrame, threshold: float, text_column: str = "preprocessed_text") -> DataFrame:
@@ -132,32 +152,39 @@ def text_vectors(df: DataFrame, threshold: float, text_column: str = "preprocess
     below that length, so a join on prefix terms alone finds every similar pair,
     and the most common terms, the hot join keys, never enter the join.
     """
-    bound = threshold / 2 - 1e-9
-    per_text = Window.partitionBy("key")
-    from_common = per_text.orderBy(F.desc("df"), "term")
-    square = F.col("raw") * F.col("raw")
-    rows = (
-        similarity_postings(df, text_column)
-        .withColumns(
-            {
-                "_sq": square,
-                "_total": F.sum(square).over(per_text),
-                "_upto": F.sum(square).over(from_common.rowsBetween(Window.unboundedPreceding, 0)),
-            }
-        )
-        .select(
-            "key",
-            "copies",
-            F.struct(F.xxhash64("term").alias("id"), (F.col("raw") / F.sqrt("_total")).alias("w")).alias("_tw"),
-            (F.col("_upto") >= F.lit(bound * bound) * F.col("_total")).alias("_in"),
-            (F.col("_sq") / F.col("_total")).alias("_part"),
+    limit = (threshold / 2 - 1e-9) ** 2
+    # From here on a term is its 64-bit hash, which keeps the shuffled rows short.
+    grouped = (
+        similarity_weights(df, text_column)
+        .select("key", "copies", "df", F.xxhash64("term").alias("id"), "raw")
+        .groupBy("key", "copies")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("df", "id", "raw")), asc=False).alias("_terms"),
+            F.sum(F.col("raw") * F.col("raw")).alias("_total"),
         )
     )
-    grouped = rows.groupBy("key", "copies").agg(
-        F.array_sort(F.collect_list("_tw")).alias("_all"),
-        F.collect_list(F.when(F.col("_in"), F.col("_tw"))).alias("prefix"),
-        F.coalesce(F.sqrt(F.sum(F.when(~F.col("_in"), F.col("_part")))), F.lit(0.0)).alias("suffix"),
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.lit(0.0).alias("suffix"))
+
+    def take_common(acc: Column, x: Column) -> Column:
+        upto = acc["sum"] + x["raw"] * x["raw"] / F.col("_total")
+        fits = upto < limit
+        return F.struct(
+            upto.alias("sum"),
+            F.when(fits, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
+            F.when(fits, upto).otherwise(acc["suffix"]).alias("suffix"),
+        )
+
+    unit = F.transform(
+        "_terms", lambda x: F.struct(x["id"].alias("id"), (x["raw"] / F.sqrt("_total")).alias("w"))
     )
-    return grouped.select(
-        "key", "copies", F.col("_all.id").alias("ids"), F.col("_all.w").alias("ws"), "prefix", "suffix"
+    cut = grouped.select(
+        "key", "copies", F.aggregate("_terms", start, take_common).alias("_cut"), unit.alias("_unit")
     )
+    n = F.col("_cut.n")
+    return cut.select(
+        "key",
+        "copies",
+        F.slice("_unit", n + 1, F.size("_unit") - n).alias("prefix"),
+        F.sqrt("_cut.suffix").alias("suffix"),
+        F.sort_array("_unit").alias("_all"),
+    ).select("key", "copies", F.col("_all.id").alias("ids"), F.col("_all.w").alias("ws"), "prefix", "suffix")

@@ -4,19 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opsignal.operators import anomaly, preprocess
+from opsignal.config import DEFAULT
+from opsignal.operators import anomaly, correlate, preprocess, similarity, tfidf
 from opsignal.plans import checksql as C
 from opsignal.plans.rows import scored_ctes
 from opsignal.session import materialise
 from opsignal.sources import views
 
 
+# Stage hand-offs already written by this application, as the batch stages of a run
+# share their tables: {(application id, sf_dir, stage): result}.
+_DONE: dict = {}
+
+
+def stage(spark: SparkSession, sf: str, name: str, build):
+    at = (spark.sparkContext.applicationId, sf, name)
+    if at not in _DONE:
+        _DONE[at] = build()
+    return _DONE[at]
+
+
+def forget() -> None:
+    """Drop the memory of written stages, so that the next query runs from raw tables."""
+    _DONE.clear()
+
+
 def prepared(spark: SparkSession, sf: str) -> DataFrame:
+    return stage(spark, sf, "prepared", lambda: build_prepared(spark, sf))
+
+
+def correlated(spark: SparkSession, sf: str) -> correlate.Correlation:
+    return stage(spark, sf, "correlated", lambda: correlate.correlate_signals(prepared(spark, sf)))
+
+
+def text_pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """``(vectors, pairs)`` of all similar texts of the corpus, not gated by time."""
+
+    def build():
+        threshold = DEFAULT.similarity_threshold
+        vectors = materialise(tfidf.text_vectors(prepared(spark, sf), threshold), "vectors")
+        return vectors, materialise(similarity.similar_texts(vectors, threshold), "pairs")
+
+    return stage(spark, sf, "pairs", build)
+
+
+def build_prepared(spark: SparkSession, sf: str) -> DataFrame:
     """Raw document signals through normalisation, lemmas, anomaly scores and predictions."""
     raw = views.signals(spark, sf, "doc_signals")
-    normal = materialise(preprocess.normalise_signals(raw), "normalised")
-    lemmas = preprocess.lemma_table(preprocess.vocabulary(normal, "normalised_text"))
-    ready = preprocess.preprocess_signals(normal, lemma=lemmas)
+    normal = materialise(preprocess.with_tokens(preprocess.normalise_signals(raw)), "tokens")
+    lemmas = preprocess.lemma_table(preprocess.vocabulary(normal))
+    ready = preprocess.with_lemmas(normal, lemmas).withColumn(
+        "preprocessed_text", F.array_join("tokens", " ")
+    )
     predicted = views.predictions(raw).select("signal_id", "predicted_category", "confidence")
     return materialise(
         anomaly.score_anomalies(ready)

@@ -25,6 +25,10 @@ def scored(spark, sf):
     return anomaly.score_anomalies(timed(spark, sf))
 
 
+def rounded(df):
+    return df.withColumns({c: round_half_up(F.col(c), 6) for c in ("mean", "std")})
+
+
 def dirty(spark, sf):
     """The event signals with the faults a feed can have, made from the event type and id."""
     number = F.substring("signal_id", 5, 8).cast("int")
@@ -265,9 +269,9 @@ def w1(spark, sf):
     return clock.with_source_weight(dirty(spark, sf)).select("signal_id", "source_weight")
 
 
-@query("q_a1_hourly_baseline", EVENT_SCORED + "SELECT hour, count, mean, std FROM baseline")
+@query("q_a1_hourly_baseline", EVENT_SCORED + f"SELECT hour, count, {C.rnd('mean', 6)} AS mean, {C.rnd('std', 6)} AS std FROM baseline")
 def a1(spark, sf):
-    return anomaly.hourly_baseline(timed(spark, sf))
+    return rounded(anomaly.hourly_baseline(timed(spark, sf)))
 
 
 @query("q_a2_z_score", EVENT_SCORED + "SELECT hour, z_score FROM zscores")
@@ -528,11 +532,14 @@ def j3(spark, sf):
 @query(
     "q_j8_hour_baseline_join",
     EVENT_SCORED
-    + "SELECT t.signal_id, b.count, b.mean, b.std FROM timed t JOIN baseline b ON t.hour = b.hour",
+    + f"""SELECT t.signal_id, b.count, {C.rnd('b.mean', 6)} AS mean, {C.rnd('b.std', 6)} AS std
+ FROM timed t JOIN baseline b ON t.hour = b.hour""",
 )
 def j8(spark, sf):
     df = timed(spark, sf)
-    return df.join(F.broadcast(anomaly.hourly_baseline(df)), "hour").select("signal_id", "count", "mean", "std")
+    return rounded(df.join(F.broadcast(anomaly.hourly_baseline(df)), "hour")).select(
+        "signal_id", "count", "mean", "std"
+    )
 
 
 @query(

@@ -37,7 +37,7 @@ def normalised(df):
 
 
 def lemmas_of(df):
-    return preprocess.lemma_table(preprocess.vocabulary(df, "normalised_text"))
+    return preprocess.lemma_table(preprocess.vocabulary(preprocess.with_tokens(df)))
 
 
 def prepared_docs(spark, sf):

@@ -63,9 +63,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores, so that text work uses all of them.
+
+    Large inputs have splits enough and are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def signals(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """``event_signals``, ``doc_signals`` or ``vector_signals`` with UTC timestamps."""
     inputs = {name: table(spark, sf_dir, name) for name in _INPUTS[view]}
+    if "documents" in inputs:
+        inputs["documents"] = spread(inputs["documents"].select("doc_id", "text"))
     text = _VIEWS[view]
     for name in inputs:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
