@@ -1,13 +1,194 @@
-"""Label index, training and prediction with Spark ML."""
+"""Label index, training and prediction.
+
+Training is Spark ML's multinomial logistic regression. Prediction needs no model
+object in the tasks: the coefficients of the capped vocabulary are a small table,
+and class margins are sums over joined terms, all in native expressions.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opsignal.config import Config, DEFAULT
+from opsignal.functions.text import feature_terms, ngrams
+from opsignal.functions.rounding import round_half_up
+from opsignal.operators.ranking import stratified_split
+from opsignal.operators.similarity import resolve_backend
+from opsignal.operators.tfidf import TfidfModel, known_terms, sublinear, tfidf_fit
+from opsignal.session import materialise
 
 
 def label_index(col: Column, cfg: Config = DEFAULT) -> Column:
     """Position in the alphabetical category list, stable if a category is absent."""
     pairs = [F.lit(x) for i, c in enumerate(sorted(cfg.categories)) for x in (c, i)]
     return F.try_element_at(F.create_map(*pairs), col)
+
+
+@dataclass(frozen=True)
+class Classifier:
+    """``terms``: ``(term, idx, idf, coef array)``, for dense input ``(idx, coef array)``."""
+
+    backend: str
+    labels: list[str]
+    intercepts: list[float]
+    terms: DataFrame
+    max_ngram: int = 2
+
+
+def _sparse_features(df: DataFrame, model: TfidfModel, text_column: str, key: str) -> DataFrame:
+    """``features`` per row; a row without known terms gets the zero vector."""
+    size = model.vocab.count()  # at most max_features
+
+    @F.udf(VectorUDT())
+    def to_vector(pairs):
+        found = {p["idx"]: p["raw"] for p in pairs or []}
+        norm = sum(v * v for v in found.values()) ** 0.5
+        return Vectors.sparse(size, {i: v / norm for i, v in found.items()})
+
+    known = known_terms(df, model, text_column, key)
+    per_row = known.groupBy(key).agg(F.collect_list(F.struct("idx", "raw")).alias("_pairs"))
+    return df.join(per_row, key, "left").withColumn("features", to_vector("_pairs")).drop("_pairs")
+
+
+def train_classifier(df: DataFrame, cfg: Config = DEFAULT, strength: float = 1.0):
+    """Fit on ``features`` and ``label``; the objective has an unpenalised intercept."""
+    rows = df.count()
+    return LogisticRegression(
+        family="multinomial",
+        regParam=1.0 / (strength * rows),
+        elasticNetParam=0.0,
+        standardization=False,
+        maxIter=1000,
+    ).fit(df.select("features", "label"))
+
+
+def _coefficients(spark: SparkSession, fitted, classes: int) -> DataFrame:
+    matrix = fitted.coefficientMatrix.toArray()
+    rows = [(i, [float(matrix[c][i]) for c in range(matrix.shape[0])]) for i in range(matrix.shape[1])]
+    return spark.createDataFrame(rows, "idx int, coef array<double>")
+
+
+def fit_classifier(
+    train: DataFrame,
+    backend: str = "auto",
+    text_column: str = "preprocessed_text",
+    vector: str = "embedding",
+    key: str = "signal_id",
+    cfg: Config = DEFAULT,
+) -> Classifier:
+    """Features of the training rows only, then the regression."""
+    used = resolve_backend(train, backend, vector)
+    labels = sorted(cfg.categories)
+    train = train.withColumn("label", label_index(F.col("category"), cfg).cast("double"))
+    spark = train.sparkSession
+    if used == "dense":
+        ready = train.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
+        fitted = train_classifier(materialise(ready.select("features", "label"), "features"), cfg)
+        terms = _coefficients(spark, fitted, len(labels))
+        return Classifier(used, labels[: fitted.numClasses], list(map(float, fitted.interceptVector)), terms)
+    model = tfidf_fit(train, text_column, key, cfg)
+    model = TfidfModel(materialise(model.vocab, "vocabulary"), model.max_ngram)
+    ready = _sparse_features(train.select(key, text_column, "label"), model, text_column, key)
+    fitted = train_classifier(materialise(ready.select("features", "label"), "features"), cfg)
+    terms = materialise(
+        model.vocab.join(F.broadcast(_coefficients(spark, fitted, len(labels))), "idx"), "coefficients"
+    )
+    return Classifier(
+        used, labels[: fitted.numClasses], list(map(float, fitted.interceptVector)), terms, model.max_ngram
+    )
+
+
+def _lexical_margins(model: Classifier, df: DataFrame, text_column: str, key: str) -> DataFrame:
+    """``(key, m0, m1, ...)`` of every row: sums over its known terms, combined map-side."""
+    terms = ngrams(feature_terms(F.col(text_column)), model.max_ngram)
+    exploded = df.select(key, F.explode_outer(terms).alias("term"))
+    # The vocabulary is capped, so the broadcast is bounded.
+    met = exploded.join(F.broadcast(model.terms), "term", "left")
+    counted = met.groupBy(key, "idx", "idf", "coef").agg(F.count("*").alias("tf"))
+    raw = F.when(F.col("idx").isNotNull(), sublinear(F.col("tf")) * F.col("idf"))
+    weighted = counted.withColumn("raw", raw)
+    sums = [
+        F.sum(F.col("raw") * F.element_at("coef", i + 1)).alias(f"s{i}") for i in range(len(model.labels))
+    ]
+    per_row = weighted.groupBy(key).agg(F.sum(F.col("raw") * F.col("raw")).alias("norm"), *sums)
+    margins = [
+        (F.lit(b) + F.coalesce(F.col(f"s{i}") / F.sqrt("norm"), F.lit(0.0))).alias(f"m{i}")
+        for i, b in enumerate(model.intercepts)
+    ]
+    return per_row.select(key, *margins)
+
+
+def _dense_margins(model: Classifier, df: DataFrame, vector: str, key: str) -> DataFrame:
+    # One row per vector dimension: bounded by the width of the model.
+    rows = model.terms.orderBy("idx").collect()
+
+    def margin(i: int, b: float) -> Column:
+        weights = F.array(*(F.lit(float(r["coef"][i])) for r in rows))
+        products = F.zip_with(F.col(vector), weights, lambda x, w: x * w)
+        return (F.lit(b) + F.aggregate(products, F.lit(0.0), lambda a, x: a + x)).alias(f"m{i}")
+
+    return df.select(key, *(margin(i, b) for i, b in enumerate(model.intercepts)))
+
+
+def predict(
+    model: Classifier,
+    df: DataFrame,
+    text_column: str = "preprocessed_text",
+    vector: str = "embedding",
+    key: str = "signal_id",
+) -> DataFrame:
+    """``(key, predicted_category, confidence, all_probabilities, backend_used)`` per row."""
+    if model.backend == "dense":
+        margins = _dense_margins(model, df, vector, key)
+    else:
+        margins = _lexical_margins(model, df, text_column, key)
+    names = [f"m{i}" for i in range(len(model.labels))]
+    top = F.greatest(*names)
+    shifted = margins.select(key, *(F.exp(F.col(m) - top).alias(m) for m in names))
+    total = reduce(lambda a, b: a + b, (F.col(m) for m in names))
+    probs = shifted.select(key, F.array(*(F.col(m) / total for m in names)).alias("p"))
+    labels = F.array(*map(F.lit, model.labels))
+    best = F.array_max("p")
+    return probs.select(
+        key,
+        # The first of equal probabilities wins.
+        F.element_at(labels, F.array_position("p", best).cast("int")).alias("predicted_category"),
+        round_half_up(best).alias("confidence"),
+        F.map_from_arrays(labels, F.transform("p", lambda x: round_half_up(x))).alias("all_probabilities"),
+        F.lit(model.backend).alias("backend_used"),
+    )
+
+
+def train_pipeline(
+    df: DataFrame, backend: str = "auto", cfg: Config = DEFAULT, key: str = "signal_id"
+) -> tuple[Classifier, DataFrame]:
+    """Split, fit on the training part, and return the model with the held-out rows."""
+    parts = materialise(stratified_split(df, "category", cfg.test_fraction, key), "split")
+    model = fit_classifier(parts.filter(~F.col("is_test")).drop("is_test"), backend, key=key, cfg=cfg)
+    return model, parts.filter("is_test").drop("is_test")
+
+
+def save_classifier(model: Classifier, path: str) -> None:
+    """Model tables under ``path``: coefficients and one row of settings."""
+    model.terms.write.mode("overwrite").parquet(f"{path}/terms")
+    settings = [(model.backend, model.labels, model.intercepts, model.max_ngram)]
+    schema = "backend string, labels array<string>, intercepts array<double>, max_ngram int"
+    model.terms.sparkSession.createDataFrame(settings, schema).write.mode("overwrite").parquet(f"{path}/settings")
+
+
+def load_classifier(spark: SparkSession, path: str) -> Classifier:
+    try:
+        settings = spark.read.parquet(f"{path}/settings").first()
+        terms = spark.read.parquet(f"{path}/terms")
+    except AnalysisException as err:
+        raise FileNotFoundError(f"no classifier at {path}: run train_pipeline and save_classifier first") from err
+    return Classifier(
+        settings["backend"], list(settings["labels"]), list(settings["intercepts"]), terms, settings["max_ngram"]
+    )
