@@ -116,13 +116,14 @@ def feature_terms(col: Column) -> Column:
 
 def ngrams(tokens: Column, longest: int = 2) -> Column:
     """The tokens followed by their runs of 2..``longest`` neighbours joined by a blank."""
-    out = tokens
+    out = runs = tokens
     for n in range(2, longest + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
-            F.array().cast("array<int>")
+        left = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        # A run of n is a run of n - 1 and the token n - 1 places on.
+        runs = F.zip_with(
+            F.slice(runs, F.lit(1), left), F.slice(tokens, F.lit(n), left), lambda a, b: F.concat_ws(" ", a, b)
         )
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-        out = F.concat(out, grams)
+        out = F.concat(out, runs)
     return out
 
 

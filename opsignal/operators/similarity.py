@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -11,7 +13,6 @@ from opsignal.config import Config, DEFAULT
 from opsignal.functions.rounding import from_units, pair_count, pair_product, to_units
 from opsignal.functions.text import feature_terms
 from opsignal.operators.tfidf import (
-    corpus_idf,
     similarity_weights,
     term_counts,
     text_vectors,
@@ -141,8 +142,25 @@ def ranked_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.orderBy(F.desc("similarity"), "signal_a", "signal_b")
 
 
+@dataclass(frozen=True)
+class CorpusIndex:
+    """A corpus ready to be searched: written once, read by every query batch."""
+
+    weights: DataFrame
+    idf: DataFrame
+    signals: DataFrame
+
+
+def index_corpus(corpus: DataFrame, text_column: str = "preprocessed_text") -> CorpusIndex:
+    """Term weights and idf of the distinct texts, and the text key of every signal."""
+    raw = materialise(similarity_weights(corpus, text_column), "weights")
+    idf = raw.groupBy("term", "df").agg(F.max(F.col("idf")).alias("idf"))
+    signals = corpus.select("signal_id", F.md5(text_column).alias("key"))
+    return CorpusIndex(unit_weights(raw, "key", F.col("raw")), idf, signals)
+
+
 def top_k_similar(
-    queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str = "item_id", text_column: str = "preprocessed_text"
+    queries: DataFrame, index: CorpusIndex, k: int = 5, query_id: str = "item_id", text_column: str = "preprocessed_text"
 ) -> DataFrame:
     """``(query, signal_id, similarity, rank)``: the ``k`` most similar corpus signals per query.
 
@@ -150,27 +168,21 @@ def top_k_similar(
     the cut to ``k`` texts happens before the shuffle, and of each text only its
     first ``k`` signals can matter.
     """
-    weights = unit_weights(similarity_weights(corpus, text_column), "key", F.col("raw"))
-    idf = corpus_idf(corpus, text_column)
     asked = (
         term_counts(queries, query_id, feature_terms(F.col(text_column)))
-        .hint("merge")
-        .join(idf, "term")
+        .join(index.idf, "term")
         .select(query_id, "term", (F.col("tf") * F.col("idf")).alias("raw"))
     )
     asked = unit_weights(asked, query_id, F.col("raw")).withColumnRenamed("weight", "w_q")
     scores = (
-        weights.hint("merge")
-        .join(asked, "term")
+        index.weights.join(asked, "term")
         .groupBy(query_id, "key")
         .agg(to_units(F.sum(F.col("weight") * F.col("w_q"))).alias("units"))
     )
-    first = text_members(corpus, text_column).select("key", "first_id")
+    first = index.signals.groupBy("key").agg(F.min("signal_id").alias("first_id"))
     best_texts = Window.partitionBy(query_id).orderBy(F.desc("units"), "first_id")
     near = scores.join(first, "key").withColumn("_r", F.row_number().over(best_texts)).filter(F.col("_r") <= k)
-    ids = corpus.select("signal_id", F.md5(text_column).alias("key")).join(
-        near.select("key").distinct(), "key", "left_semi"
-    )
+    ids = index.signals.join(near.select("key").distinct(), "key", "left_semi")
     early = Window.partitionBy("key").orderBy("signal_id")
     ids = ids.withColumn("_i", F.row_number().over(early)).filter(F.col("_i") <= k)
     order = Window.partitionBy(query_id).orderBy(F.desc("units"), "signal_id")

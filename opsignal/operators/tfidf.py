@@ -114,7 +114,7 @@ def text_postings(df: DataFrame, text_column: str = "preprocessed_text") -> Data
 
 
 def similarity_weights(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
-    """``(key, copies, term, raw, df)``: raw tf times smooth idf over the whole corpus.
+    """``(key, copies, term, raw, df, idf)``: raw tf times smooth idf over the whole corpus.
 
     Document frequencies weigh each text by its copies and ``n`` counts every signal.
     The postings are written once and read by both sides of the join, which is a
@@ -126,7 +126,7 @@ def similarity_weights(df: DataFrame, text_column: str = "preprocessed_text") ->
         "term", "df", smooth_idf(F.col("n"), F.col("df")).alias("idf")
     )
     return postings.hint("merge").join(idf, "term").select(
-        "key", "copies", "term", (F.col("tf") * F.col("idf")).alias("raw"), "df"
+        "key", "copies", "term", (F.col("tf") * F.col("idf")).alias("raw"), "df", "idf"
     )
 
 

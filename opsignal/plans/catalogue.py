@@ -1,6 +1,6 @@
 """All registered queries: importing a plan module registers its queries."""
 
-from opsignal.plans import correlation, models, rows, texts  # noqa: F401
+from opsignal.plans import correlation, models, rows, streams, texts  # noqa: F401
 from opsignal.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

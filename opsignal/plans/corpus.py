@@ -37,6 +37,10 @@ def correlated(spark: SparkSession, sf: str) -> correlate.Correlation:
     return stage(spark, sf, "correlated", lambda: correlate.correlate_signals(prepared(spark, sf)))
 
 
+def corpus_index(spark: SparkSession, sf: str) -> similarity.CorpusIndex:
+    return stage(spark, sf, "index", lambda: similarity.index_corpus(prepared(spark, sf)))
+
+
 def text_pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """``(vectors, pairs)`` of all similar texts of the corpus, not gated by time."""
 

@@ -15,6 +15,7 @@ from opsignal.plans.corpus import (
     CORRELATED,
     GROUP_COLUMNS,
     VECTORS,
+    corpus_index,
     correlated,
     edges,
     prepared,
@@ -156,7 +157,7 @@ ASKED = (
     + "SELECT item_id, signal_id, units / 10000::DOUBLE AS similarity, CAST(rank AS INTEGER) AS rank FROM near WHERE rank <= 5",
 )
 def j13(spark, sf):
-    return similarity.top_k_similar(asked(spark, sf), prepared(spark, sf), 5)
+    return similarity.top_k_similar(asked(spark, sf), corpus_index(spark, sf), 5)
 
 
 @query(
@@ -166,7 +167,7 @@ def j13(spark, sf):
  FROM near n LEFT JOIN member_rows m USING (signal_id) WHERE n.rank = 1""",
 )
 def c11(spark, sf):
-    best = similarity.top_k_similar(asked(spark, sf), prepared(spark, sf), 1)
+    best = similarity.top_k_similar(asked(spark, sf), corpus_index(spark, sf), 1)
     found = correlate.group_hint(best, correlated(spark, sf), prepared(spark, sf))
     return found.select("item_id", "signal_id", "group_id", "related_category")
 

@@ -36,7 +36,7 @@ def s1(spark, sf):
 @query("q_s1_csv_long_text", C.with_(C.DOC) + f"SELECT {SIGNAL_COLUMNS} FROM doc_signals")
 def s1_docs(spark, sf):
     path = store.write_signals(views.signals(spark, sf, "doc_signals"), new_path(spark, "csv"), "csv")
-    return store.read_signals(spark, path, "csv")
+    return store.read_signals(spark, path, "csv", multi_line=True)
 
 
 @query("q_s2_json_source", C.with_(C.DOC) + f"SELECT {SIGNAL_COLUMNS} FROM doc_signals")

@@ -86,6 +86,12 @@ def signals(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
+def event_stream(events: DataFrame) -> DataFrame:
+    """The event signals over a stream of the ``events`` table."""
+    df = events.sparkSession.sql(EVENT_SIGNALS.replace("FROM events", "FROM {events}"), events=events)
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
 def predictions(df: DataFrame) -> DataFrame:
     """Deterministic stand-in for a trained classifier's output."""
     return df.sparkSession.sql(PREDICTIONS, signals=df)
