@@ -21,8 +21,7 @@ from opsignal.functions.text import snippet
 from opsignal.operators.evaluate import evaluate_group_counts
 from opsignal.operators.components import connected_components
 from opsignal.operators.ranking import global_rank
-from opsignal.operators.similarity import prefix_index, reaches, side, verify
-from opsignal.operators.tfidf import text_vectors
+from opsignal.operators.similarity import index_vectors, prefix_index, reaches, side, verify
 from opsignal.operators.timewindow import partial_pairs, with_bucket
 from opsignal.session import materialise
 
@@ -88,15 +87,14 @@ def link_signals(
     """
     threshold = cfg.similarity_threshold if threshold is None else threshold
     signals = placed(df, text_column, cfg)
-    vectors = materialise(text_vectors(df, threshold, text_column), "vectors")
+    vectors = index_vectors(df, threshold, text_column)
     # A text without terms is similar to nothing, not even to its copies.
     cells = materialise(
-        build_cells(signals, cfg).join(vectors.select("key"), "key", "left_semi"), "cells"
+        build_cells(signals, cfg).join(vectors.select("key", "vid"), "key"), "cells"
     )
     pairs = materialise(cell_candidates(cells, vectors, threshold), "candidates")
-    texts = pairs.select("key_a", "key_b").distinct()
-    scores = verify(texts, vectors, threshold).select("key_a", "key_b", "cosine")
-    crossing = pairs.join(scores, ["key_a", "key_b"]).drop("key_a", "key_b")
+    texts = pairs.select("vid_a", "vid_b").distinct()
+    crossing = pairs.join(verify(texts, vectors, threshold), ["vid_a", "vid_b"]).drop("vid_a", "vid_b")
     linked = materialise(crossing.unionByName(same_text_links(cells)), "links")
     return Links(signals, vectors, cells, count_pairs(linked, signals, cells, cfg), cfg)
 
@@ -104,11 +102,11 @@ def link_signals(
 def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs of cells of one category with different texts, close in time, that may be similar.
 
-    ``(early, late, n_e, n_l, lo_e, hi_e, lo_l, hi_l, adjacent, key_a, key_b)``. The
+    ``(early, late, n_e, n_l, lo_e, hi_e, lo_l, hi_l, adjacent, vid_a, vid_b)``. The
     join key is one hash of category, bucket and term, so its rows stay short; a
     clash of hashes only adds a candidate, and the cells are compared after it.
     """
-    index = cells.select("node", "predicted_category", "bucket", "key").join(prefix_index(vectors), "key")
+    index = cells.select("node", "predicted_category", "bucket", "vid").join(prefix_index(vectors), "vid")
 
     def entry(slot: Column) -> Column:
         return F.xxhash64("predicted_category", slot, "id")
@@ -128,12 +126,12 @@ def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> D
         .agg(reaches(threshold).alias("_ok"))
         .filter("_ok")
     )
-    cell = cells.select("node", "predicted_category", "bucket", "key", "n", "lo", "hi")
+    cell = cells.select("node", "predicted_category", "bucket", "vid", "n", "lo", "hi")
     full = met.join(side(cell, "a"), "node_a").join(side(cell, "b"), "node_b")
     same = F.col("bucket_a") == F.col("bucket_b")
     return full.filter(
         (F.col("predicted_category_a") == F.col("predicted_category_b"))
-        & (F.col("key_a") != F.col("key_b"))
+        & (F.col("vid_a") != F.col("vid_b"))
         & (same | (F.col("lo_b") <= F.col("hi_a")))
     ).select(
         F.col("node_a").alias("early"),
@@ -145,8 +143,8 @@ def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> D
         F.col("lo_b").alias("lo_l"),
         F.col("hi_b").alias("hi_l"),
         (~same).alias("adjacent"),
-        F.least("key_a", "key_b").alias("key_a"),
-        F.greatest("key_a", "key_b").alias("key_b"),
+        F.least("vid_a", "vid_b").alias("vid_a"),
+        F.greatest("vid_a", "vid_b").alias("vid_b"),
     )
 
 

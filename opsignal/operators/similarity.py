@@ -7,7 +7,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType
 
 from opsignal.config import Config, DEFAULT
 from opsignal.functions.rounding import from_units, pair_count, pair_product, to_units
@@ -23,22 +22,18 @@ from opsignal.session import materialise
 _SLACK = 1e-9
 
 
-@F.pandas_udf(DoubleType())
-def sparse_dot(ids_a: pd.Series, ws_a: pd.Series, ids_b: pd.Series, ws_b: pd.Series) -> pd.Series:
-    """Dot products of id-sorted sparse vectors, one numpy lookup per pair."""
-    out = np.zeros(len(ids_a))
-    for i, (ia, wa, ib, wb) in enumerate(zip(ids_a, ws_a, ids_b, ws_b)):
-        if len(ia) > len(ib):
-            ia, wa, ib, wb = ib, wb, ia, wa
-        at = np.searchsorted(ib, ia)
-        at[at == len(ib)] = 0
-        out[i] = np.dot(wa, np.where(ib[at] == ia, wb[at], 0.0))
-    return pd.Series(out)
+TEXTS_PER_BLOCK = 1024
+
+
+def index_vectors(df: DataFrame, threshold: float, text_column: str = "preprocessed_text") -> DataFrame:
+    """The written vectors of the distinct texts, each with a short number ``vid``."""
+    vectors = text_vectors(df, threshold, text_column)
+    return materialise(vectors.withColumn("vid", F.monotonically_increasing_id()), "vectors")
 
 
 def prefix_index(vectors: DataFrame) -> DataFrame:
-    """``(key, suffix, id, w)``: one row per prefix term."""
-    return vectors.select("key", "suffix", F.inline("prefix"))
+    """``(vid, suffix, id, w)``: one row per prefix term."""
+    return vectors.select("vid", "suffix", F.inline("prefix"))
 
 
 def reaches(threshold: float) -> Column:
@@ -54,12 +49,43 @@ def side(df: DataFrame, name: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{c}_{name}") for c in df.columns))
 
 
+def _score_block(pairs: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+    """Dot products of id-sorted sparse vectors, one numpy lookup per pair."""
+    known = {v: (i, w) for v, i, w in zip(vectors["vid"], vectors["ids"], vectors["ws"])}
+    out = np.zeros(len(pairs))
+    for n, (a, b) in enumerate(zip(pairs["vid_a"], pairs["vid_b"])):
+        (ia, wa), (ib, wb) = known[a], known[b]
+        if len(ia) > len(ib):
+            ia, wa, ib, wb = ib, wb, ia, wa
+        at = np.searchsorted(ib, ia)
+        at[at == len(ib)] = 0
+        out[n] = np.dot(wa, np.where(ib[at] == ia, wb[at], 0.0))
+    return pd.DataFrame({"vid_a": pairs["vid_a"], "vid_b": pairs["vid_b"], "cosine": out})
+
+
 def verify(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """Exact cosine of candidate text pairs, kept from ``threshold`` on (inclusive)."""
-    v = vectors.select("key", "ids", "ws")
-    full = pairs.join(side(v, "a"), "key_a").join(side(v, "b"), "key_b")
-    scored = full.withColumn("cosine", sparse_dot("ids_a", "ws_a", "ids_b", "ws_b"))
-    return scored.drop("ids_a", "ws_a", "ids_b", "ws_b").filter(F.col("cosine") >= threshold)
+    """``(vid_a, vid_b, cosine)`` of distinct candidate pairs from ``threshold`` on (inclusive).
+
+    Texts are dealt into blocks of about a thousand. All candidates between two
+    blocks are scored together, and a vector travels once per block pair that asks
+    for it, not once per candidate. A task holds at most two blocks.
+    """
+    blocks = F.lit(max(1, -(-vectors.count() // TEXTS_PER_BLOCK)))
+
+    def block(vid: str) -> Column:
+        return F.pmod(F.xxhash64(vid), blocks)
+
+    dealt = pairs.select("vid_a", "vid_b", block("vid_a").alias("i"), block("vid_b").alias("j"))
+    ends = dealt.select(
+        F.col("i").alias("p"), F.col("j").alias("q"), F.explode(F.array("vid_a", "vid_b")).alias("vid")
+    ).distinct()
+    sent = ends.join(vectors.select("vid", "ids", "ws"), "vid")
+    scored = (
+        dealt.groupBy("i", "j")
+        .cogroup(sent.groupBy("p", "q"))
+        .applyInPandas(_score_block, "vid_a bigint, vid_b bigint, cosine double")
+    )
+    return scored.filter(F.col("cosine") >= threshold)
 
 
 def similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
@@ -68,16 +94,22 @@ def similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
     ``vectors`` must have been built for a threshold not above this one.
     """
     index = prefix_index(vectors)
-    candidates = (
+    met = (
         side(index, "a")
         .hint("merge")
-        .join(side(index, "b"), (F.col("id_a") == F.col("id_b")) & (F.col("key_a") < F.col("key_b")))
-        .groupBy("key_a", "key_b")
+        .join(side(index, "b"), (F.col("id_a") == F.col("id_b")) & (F.col("vid_a") < F.col("vid_b")))
+        .groupBy("vid_a", "vid_b")
         .agg(reaches(threshold).alias("_ok"))
         .filter("_ok")
-        .select("key_a", "key_b")
     )
-    return verify(candidates, vectors, threshold)
+    candidates = materialise(met.select("vid_a", "vid_b"), "candidates")
+    names = vectors.select("vid", "key")
+    return (
+        verify(candidates, vectors, threshold)
+        .join(side(names, "a").withColumnRenamed("key_a", "a"), "vid_a")
+        .join(side(names, "b").withColumnRenamed("key_b", "b"), "vid_b")
+        .select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"), "cosine")
+    )
 
 
 def text_members(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
@@ -95,7 +127,7 @@ def similar_pairs(
 ) -> DataFrame:
     """All similar signal pairs, one row per pair of distinct texts (see ``named_pairs``)."""
     threshold = cfg.similarity_threshold if threshold is None else threshold
-    vectors = materialise(text_vectors(df, threshold, text_column), "vectors")
+    vectors = index_vectors(df, threshold, text_column)
     return named_pairs(similar_texts(vectors, threshold), vectors, text_members(df, text_column))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsignal.config import DEFAULT
-from opsignal.operators import anomaly, correlate, preprocess, similarity, tfidf
+from opsignal.operators import anomaly, correlate, preprocess, similarity
 from opsignal.plans import checksql as C
 from opsignal.plans.rows import scored_ctes
 from opsignal.session import materialise
@@ -46,7 +46,7 @@ def text_pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
     def build():
         threshold = DEFAULT.similarity_threshold
-        vectors = materialise(tfidf.text_vectors(prepared(spark, sf), threshold), "vectors")
+        vectors = similarity.index_vectors(prepared(spark, sf), threshold)
         return vectors, materialise(similarity.similar_texts(vectors, threshold), "pairs")
 
     return stage(spark, sf, "pairs", build)
