@@ -26,8 +26,10 @@ def hourly_baseline(df: DataFrame) -> DataFrame:
 
 def z_score(count: Column, mean: Column, std: Column, cfg: Config = DEFAULT) -> Column:
     clip = F.lit(cfg.z_clip)
-    raw = (count - mean) / F.nullif(std, F.lit(0.0))
-    return F.coalesce(round_half_up(F.greatest(-clip, F.least(clip, raw))), F.lit(0.0))
+    # greatest and least skip nulls, so equal counts are decided before the division.
+    raw = F.try_divide(count - mean, std)
+    clipped = round_half_up(F.greatest(-clip, F.least(clip, raw)))
+    return F.when(std == 0, F.lit(0.0)).otherwise(clipped)
 
 
 def anomaly_score(z: Column, is_business: Column, cfg: Config = DEFAULT) -> Column:

@@ -52,7 +52,7 @@ def lemma_table(vocab: DataFrame) -> DataFrame:
     def undone(form: Column) -> Column:
         options = [
             F.when(
-                form.endswith(old) & (F.length(form) > len(old)),
+                form.endswith(old),
                 F.concat(F.substring(form, F.lit(1), F.length(form) - len(old)), F.lit(new)),
             )
             for old, new in NOUN_ENDINGS

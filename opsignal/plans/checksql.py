@@ -138,7 +138,7 @@ def lemma_ctes(vocab: str) -> tuple[str, ...]:
     """``vocab(form)`` to ``lemmas(form, lemma)``."""
     options = " UNION ALL ".join(
         f"SELECT form, concat(left(form, length(form) - {len(old)}), '{new}') AS lemma FROM vocab "
-        f"WHERE ends_with(form, '{old}') AND length(form) > {len(old)} AND form NOT IN ({_MARKS})"
+        f"WHERE ends_with(form, '{old}') AND form NOT IN ({_MARKS})"
         for old, new in NOUN_ENDINGS
     )
     return (

@@ -9,6 +9,7 @@ from opsignal.functions.stopwords import ENGLISH, INCIDENT_WORDS, domain_stop_wo
 from opsignal.operators import preprocess
 from opsignal.plans import checksql as C
 from opsignal.plans.registry import query
+from opsignal.session import materialise
 from opsignal.sources import views
 
 
@@ -41,9 +42,13 @@ def lemmas_of(df):
 
 
 def prepared_docs(spark, sf):
-    """Document signals through the whole text chain, corpus lemmas included."""
-    df = normalised(docs(spark, sf))
-    return preprocess.preprocess_signals(df, lemma=lemmas_of(df))
+    """Document signals through the whole text chain, corpus lemmas included.
+
+    The tokens are written once: the lemma table and its application both read them.
+    """
+    tokens = materialise(preprocess.with_tokens(normalised(docs(spark, sf))).select("signal_id", "tokens"), "tokens")
+    spelt = preprocess.with_lemmas(tokens, preprocess.lemma_table(preprocess.vocabulary(tokens)))
+    return spelt.withColumn("preprocessed_text", F.array_join("tokens", " "))
 
 
 def _rule(name, column_rule, sql_rule, lower=True):
@@ -230,7 +235,7 @@ PRE_DOCS = C.with_(*TOK_DOCS, *C.PREPROCESSED)
  (SELECT count(DISTINCT t) AS unique_tokens FROM (SELECT unnest({TOKENS_OF}) AS t FROM preprocessed))""",
 )
 def k8(spark, sf):
-    return preprocess.token_stats(prepared_docs(spark, sf))
+    return preprocess.token_stats(materialise(prepared_docs(spark, sf), "preprocessed"))
 
 
 @query(

@@ -75,6 +75,8 @@ def spread(df: DataFrame) -> DataFrame:
 def signals(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """``event_signals``, ``doc_signals`` or ``vector_signals`` with UTC timestamps."""
     inputs = {name: table(spark, sf_dir, name) for name in _INPUTS[view]}
+    if view == "event_signals":
+        inputs["events"] = spread(inputs["events"].select("event_id", "ts", "user_id", "event_type"))
     if "documents" in inputs:
         inputs["documents"] = spread(inputs["documents"].select("doc_id", "text"))
     text = _VIEWS[view]
