@@ -60,16 +60,19 @@ def partial_pairs(links: DataFrame, rows: DataFrame, cell: str, cfg: Config = DE
     digits = offset_digits(rows.join(wanted.distinct(), cell, "left_semi"), cell, cfg)
     left = digits.select(F.col(cell).alias("early"), "level", "prefix", F.col("digits").alias("d_e"))
     right = digits.select(F.col(cell).alias("late"), "level", "prefix", F.col("digits").alias("d_l"))
-    zero = F.lit(0).cast(BIG)
-
     def later_at_or_below(e: Column) -> Column:
+        """Rows of the later cell that fit one digit of the earlier; a plain count."""
         fits = F.filter(
             "d_l",
             lambda x: (x["digit"] < e["digit"]) | ((F.col("level") == 0) & (x["digit"] == e["digit"])),
         )
-        return F.aggregate(fits, zero, lambda acc, x: (acc + pair_product(x["n"], e["n"])).cast(BIG))
+        return F.aggregate(fits, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
 
-    counted = F.aggregate("d_e", zero, lambda acc, e: (acc + later_at_or_below(e)).cast(BIG))
+    counted = F.aggregate(
+        "d_e",
+        F.lit(0).cast(BIG),
+        lambda acc, e: (acc + pair_product(later_at_or_below(e), e["n"])).cast(BIG),
+    )
     return (
         links.join(left, "early")
         .join(right, ["late", "level", "prefix"])
