@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from opsignal.session import materialise, prepare
 
@@ -33,4 +34,12 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-__all__ = ["BATCH_ROWS", "fresh", "materialise", "ready", "remainder", "table"]
+def with_columns(schema: StructType, added: list[tuple[str, str]]) -> StructType:
+    """A copy of ``schema`` with further columns."""
+    out = StructType(list(schema.fields))
+    for name, kind in added:
+        out.add(name, kind)
+    return out
+
+
+__all__ = ["BATCH_ROWS", "fresh", "materialise", "ready", "remainder", "table", "with_columns"]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsignal.llm import textbuf
-from opsignal.llm.common import fresh
+from opsignal.llm.common import fresh, with_columns
 
 BUCKET_BITS = 16
 WIDTH = 16
@@ -193,5 +193,6 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             out = out.append_column("score", pa.array(np.clip(top, 0, 1)))
             yield out.append_column("rejected", pa.array(~letter | (top < m.threshold)))
 
-    schema = docs.select(*columns).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    added = [("lang_pred", "string"), ("score", "double"), ("rejected", "boolean")]
+    schema = with_columns(docs.select(*columns).schema, added)
     return base.mapInArrow(run, schema)

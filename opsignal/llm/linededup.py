@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from opsignal.llm import textbuf
-from opsignal.llm.common import fresh, materialise
+from opsignal.llm.common import fresh, materialise, with_columns
 
 WORDS = 50
 _WINDOWS = "doc_id long, text_hash long, fp long, windows array<struct<content:long,first:int,last:int>>"
@@ -200,5 +200,5 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
             out = out.append_column("n_lines", pa.array(before, pa.int64()))
             yield out.append_column("n_deleted", pa.array(gone, pa.int64()))
 
-    schema = base.schema.add("n_lines", "long").add("n_deleted", "long")
+    schema = with_columns(base.schema, [("n_lines", "long"), ("n_deleted", "long")])
     return joined.mapInArrow(run, schema)
