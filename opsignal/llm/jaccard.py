@@ -32,7 +32,8 @@ COMMON = 131_072
 COUNTED = 2_000_000
 #: Candidate documents (8 bytes each) up to which their list is broadcast.
 LISTED = 500_000
-STAR_ROUNDS = 2
+#: Rows of a column that all others of it are compared with, turn by turn.
+CENTERS = (1, 8, 32)
 
 
 def _document_sets(column: pa.Array, size: int):
@@ -160,6 +161,45 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select(F.col("row").alias("src"), F.col("row2").alias("dst"))
 
 
+def _open_pairs(cells: DataFrame, roots: DataFrame | None, percent: int, turn: int) -> DataFrame:
+    """Candidate pairs of rows in different classes: stars in the first turns, then all that are left."""
+    if roots is None:
+        live = cells.withColumn("class", F.col("row"))
+    else:
+        live = cells.join(roots, F.col("row") == F.col("node"), "left").select(
+            "gram", "row", "n", "pos", F.coalesce("root", "row").alias("class")
+        )
+    is_open = (F.min("class") < F.max("class")).alias("open")
+    if turn < len(CENTERS):
+        row = F.struct("row", "n", "pos", "class")
+        centers = F.array_distinct(F.array(*[F.min_by(row, F.xxhash64("row", F.lit(k))) for k in range(CENTERS[turn])]))
+        one = live.groupBy("gram").agg(centers.alias("centers"), is_open).filter("open")
+        one = one.select("gram", F.explode("centers").alias("c")).select(
+            "gram", *[F.col(f"c.{c}").alias(f"{c}2") for c in ("row", "n", "pos", "class")]
+        )
+        # a star sees only part of a pair's columns, so that their number bounds nothing
+        pairs = live.join(one, "gram").filter("class <> class2").filter(_may_link(percent))
+    else:
+        left = live.groupBy("gram").agg(is_open).filter("open").select("gram")
+        live = materialise(live.join(left, "gram", "left_semi"), "open")
+        other = live.select("gram", *[F.col(c).alias(f"{c}2") for c in ("row", "n", "pos", "class")])
+        met = live.join(other, "gram").filter("row < row2 AND class <> class2").filter(_may_link(percent))
+        pairs = _block_counts(met, percent)
+    return pairs.select(
+        F.least("row", "row2").alias("row"), F.greatest("row", "row2").alias("row2"),
+        F.expr("IF(row < row2, n, n2)").alias("n"), F.expr("IF(row < row2, n2, n)").alias("n2"),
+    ).distinct()
+
+
+def _sets_of(docs: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """``row, grams`` of the rows ``asked`` (``row, doc_id, key``), from a further pass over the texts."""
+    wanted = asked.select("doc_id").distinct()
+    if asked.count() <= LISTED:
+        wanted = F.broadcast(wanted)
+    sets = whole_sets(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi"), size)
+    return materialise(sets.join(asked.select("row", "key"), "key").select("row", "grams"), "sets")
+
+
 def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row of ``docs``.
 
@@ -175,68 +215,43 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     inc = incidence(docs, size, percent, common_columns(docs, size))
     inc = materialise(inc.withColumn("row", F.monotonically_increasing_id()), "incidence")
 
-    some = inc.filter("n > 0")
-    reps = some.groupBy("key").agg(F.min("row").alias("row"))
-    reps = materialise(some.join(reps, ["row", "key"], "left_semi").select("row", "doc_id", "n", "key", "prefix"), "reps")
-    cells = reps.select("row", "n", F.posexplode("prefix").alias("pos", "gram"))
+    rows = inc.select("row", "doc_id", "n", "key").filter("n > 0")
+    heads = rows.groupBy("key").agg(F.min("row").alias("head"), F.count("*").alias("copies"))
+    copies = rows.join(heads.filter("copies > 1"), "key").filter("row <> head").select("row", "head")
+    copies = materialise(copies, "copies")
+    repeats = copies.select("row")
+    if repeats.count() <= LISTED:
+        repeats = F.broadcast(repeats)
+    cells = inc.filter("n > 0").join(repeats, "row", "left_anti")
+    cells = cells.select("row", "n", F.posexplode("prefix").alias("pos", "gram"))
     many = cells.groupBy("gram").agg(F.count("*").alias("rows")).filter("rows > 1").select("gram")
     cells = materialise(cells.join(many, "gram"), "columns")
 
-    asked = materialise(
-        reps.select("row", "doc_id", "key").join(cells.select("row").distinct(), "row", "left_semi"), "asked"
-    )
-    wanted = asked.select("doc_id")
-    if asked.count() <= LISTED:
-        wanted = F.broadcast(wanted)
-    sets = whole_sets(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi"), size)
-    sets = materialise(sets.join(asked.select("row", "key"), "key").select("row", "grams"), "sets")
-
-    links, roots, done = None, None, None
-    for turn in range(STAR_ROUNDS + 1):
-        if roots is None:
-            live = cells.withColumn("class", F.col("row"))
-        else:
-            live = cells.join(roots, F.col("row") == F.col("node"), "left").select(
-                "gram", "row", "n", "pos", F.coalesce("root", "row").alias("class")
-            )
-        if turn < STAR_ROUNDS:
-            one = live.groupBy("gram").agg(
-                F.min_by(F.struct("row", "n", "pos", "class"), F.xxhash64("row", F.lit(turn))).alias("one"),
-                (F.min("class") < F.max("class")).alias("open"),
-            ).filter("open").select(
-                "gram", F.col("one.row").alias("row2"), F.col("one.n").alias("n2"),
-                F.col("one.pos").alias("pos2"), F.col("one.class").alias("class2"),
-            )
-            met = live.join(one, "gram").filter("class <> class2")
-        else:
-            open_ = live.groupBy("gram").agg((F.min("class") < F.max("class")).alias("open")).filter("open").select("gram")
-            live = materialise(live.join(open_, "gram", "left_semi"), "live")
-            other = live.select("gram", *[F.col(c).alias(f"{c}2") for c in ("row", "n", "pos", "class")])
-            met = live.join(other, "gram").filter("row < row2 AND class <> class2")
-        met = met.filter(_may_link(percent))
-        # a star sees only part of a pair's columns, so that its counts bound nothing
-        pairs = met if turn < STAR_ROUNDS else _block_counts(met, percent)
-        pairs = pairs.select(
-            F.least("row", "row2").alias("row"), F.greatest("row", "row2").alias("row2"),
-            F.expr("IF(row < row2, n, n2)").alias("n"), F.expr("IF(row < row2, n2, n)").alias("n2"),
-        ).distinct()
+    sets, links, roots, done = None, None, None, None
+    for turn in range(len(CENTERS) + 1):
+        pairs = _open_pairs(cells, roots, percent, turn)
         if done is not None:
             pairs = pairs.join(done, ["row", "row2"], "left_anti")
         pairs = materialise(pairs, "pairs")
+        if done is not None and pairs.isEmpty():
+            continue
         done = pairs.select("row", "row2") if done is None else done.unionByName(pairs.select("row", "row2"))
+        asked = pairs.select("row").unionByName(pairs.select(F.col("row2").alias("row"))).distinct()
+        if sets is not None:
+            asked = asked.join(sets.select("row"), "row", "left_anti")
+        new = _sets_of(docs, materialise(rows.join(asked, "row", "left_semi").select("row", "doc_id", "key"), "asked"), size)
+        sets = new if sets is None else sets.unionByName(new)
         found = materialise(_verified(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         roots = connected_components(links)
 
-    rows = inc.select("row", "doc_id", "n", "key")
-    members = rows.filter("n > 0").join(
-        reps.select("key", F.col("row").alias("rep")), "key"
-    ).join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+    rows = rows.join(copies, "row", "left").select("doc_id", "n", F.coalesce("head", "row").alias("rep"))
+    members = rows.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n", F.coalesce("root", "rep").alias("root")
     )
     least = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = members.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = inc.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
