@@ -171,6 +171,10 @@ def _open_pairs(cells: DataFrame, roots: DataFrame | None, percent: int, turn: i
         )
     is_open = (F.min("class") < F.max("class")).alias("open")
     if turn < len(CENTERS):
+        if turn:  # for columns of few rows, the last turn is no more work
+            large = live.groupBy("gram").agg(F.count("*").alias("rows"), is_open)
+            large = large.filter(F.col("open") & (F.col("rows") > 2 * CENTERS[turn])).select("gram")
+            live = live.join(large, "gram", "left_semi")
         row = F.struct("row", "n", "pos", "class")
         centers = F.array_distinct(F.array(*[F.min_by(row, F.xxhash64("row", F.lit(k))) for k in range(CENTERS[turn])]))
         one = live.groupBy("gram").agg(centers.alias("centers"), is_open).filter("open")
