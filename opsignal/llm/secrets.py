@@ -31,6 +31,8 @@ WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 FDR = 0.01
+#: A candidate that the battery itself refutes at this level is no random string, however rare.
+REFUTED = 0.001
 #: Length bands (20-23, 24-31, 32-47, 48-, ...) and steps of -log10 of the combined p-value.
 BANDS, BINS, STEP = 12, 64, 0.25
 ALPHABETS = (
@@ -52,11 +54,11 @@ def _chi2_tail(x: float, k: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def _groups(token: str) -> list[int]:
-    """Counts of digits, capitals and small letters: what short strings can be tested for."""
-    digits = sum(c.isdigit() for c in token)
-    upper = sum(c.isupper() for c in token)
-    return [digits, upper, sum(c.islower() for c in token)]
+def _classes(characters) -> list[int]:
+    """Counts of digits, capitals, small letters and signs: what short strings can be tested for."""
+    kinds = [(c.isdigit(), c.isupper(), c.islower()) for c in characters]
+    found = [sum(k[i] for k in kinds) for i in range(3)]
+    return [*found, len(kinds) - sum(found)]
 
 
 def battery(token: str) -> tuple[str, float]:
@@ -78,9 +80,10 @@ def battery(token: str) -> tuple[str, float]:
     sizes = [sum(1 for i in range(size) if i * 8 // size == g) for g in range(8)]
     uniform = _chi2_tail(sum((c - n * s / size) ** 2 / (n * s / size) for c, s in zip(counts, sizes)), 7)
     if size > 36:  # letters of both cases and digits
-        shares = [10 / size, 26 / size, 26 / size]
-        classes = sum((c - n * s) ** 2 / (n * s) for c, s in zip(_groups(token), shares))
-        uniform = min(1.0, 2 * min(uniform, _chi2_tail(classes, 2)))
+        expected = [n * c / size for c in _classes(index)]
+        pairs = [(c, e) for c, e in zip(_classes(token), expected) if e]
+        classes = sum((c - e) ** 2 / e for c, e in pairs)
+        uniform = min(1.0, 2 * min(uniform, _chi2_tail(classes, len(pairs) - 1)))
     high = [i * 2 >= size for i in at]
     a = sum(high)
     b = n - a
@@ -174,17 +177,17 @@ def scan_texts(docs: DataFrame) -> DataFrame:
 def reported_cells(ordinary: dict[tuple[int, int], int], other: dict[tuple[int, int], int], rate: float = FDR) -> set[tuple[int, int]]:
     """Cells ``(band, bin)`` whose candidates are reported.
 
-    The p-value of a cell is the share of ordinary candidates of its band that fit randomness as well
-    or better, counted with one more; a band without ordinary candidates uses those of shorter bands,
-    which pass more easily. Benjamini-Hochberg over all other candidates of the corpus.
+    The p-value of a cell is the share of ordinary candidates of its length band and of shorter ones
+    that fit randomness as well or better, counted with one more. Shorter words pass more easily,
+    so that including them only makes the p-value larger. Benjamini-Hochberg over all other
+    candidates of the corpus.
     """
     p_of = {}
     for band, bin_ in other:
-        seen = {b: sum(n for (x, _), n in ordinary.items() if x == b) for b in range(band + 1)}
-        use = next((b for b in range(band, -1, -1) if seen[b]), None)
-        total = sum(n for (x, _), n in ordinary.items() if use is not None and x == use)
-        as_good = sum(n for (x, y), n in ordinary.items() if use is not None and x == use and y <= bin_)
-        p_of[band, bin_] = (1 + as_good) / (1 + total)
+        upto = [(bin_of, n) for (b, bin_of), n in ordinary.items() if b <= band]
+        total = sum(n for _, n in upto)
+        as_good = sum(n for bin_of, n in upto if bin_of <= bin_)
+        p_of[band, bin_] = 1.0 if bin_ > _bin(REFUTED) else (1 + as_good) / (1 + total)
     m = sum(other.values())
     level, rank = 0.0, 0
     for p in sorted(set(p_of.values())):
