@@ -86,6 +86,14 @@ def window_pair_counts(df: DataFrame, keys: list[str], cfg: Config = DEFAULT) ->
 
     The result counts what an interval join would list. Rows with a null key never match.
     """
+    return bucket_pair_counts(df, keys, cfg).groupBy(*keys).agg(F.sum("pairs").cast(BIG).alias("pairs"))
+
+
+def bucket_pair_counts(df: DataFrame, keys: list[str], cfg: Config = DEFAULT) -> DataFrame:
+    """The pairs of ``window_pair_counts`` per key and bucket of the earlier signal.
+
+    A pair across a bucket border belongs to the bucket before the border.
+    """
     rows = with_bucket(df, cfg)
     for k in keys:
         rows = rows.filter(F.col(k).isNotNull())
@@ -102,13 +110,13 @@ def window_pair_counts(df: DataFrame, keys: list[str], cfg: Config = DEFAULT) ->
         F.col("hi").alias("hi_l"),
     )
     near = cells.withColumnRenamed("cell", "early").join(after, [*keys, "bucket"]).filter("lo_l <= hi")
-    whole = near.filter("hi_l <= lo").select(*keys, pair_product(F.col("n"), F.col("n_l")).alias("pairs"))
+    whole = near.filter("hi_l <= lo").select(*keys, "bucket", pair_product(F.col("n"), F.col("n_l")).alias("pairs"))
     split = near.filter("hi_l > lo")
     part = split.join(partial_pairs(split.select("early", "late"), rows, "cell", cfg), ["early", "late"])
-    inside = cells.select(*keys, pair_count(F.col("n")).alias("pairs"))
+    inside = cells.select(*keys, "bucket", pair_count(F.col("n")).alias("pairs"))
     return (
         inside.unionByName(whole)
-        .unionByName(part.select(*keys, "pairs"))
-        .groupBy(*keys)
+        .unionByName(part.select(*keys, "bucket", "pairs"))
+        .groupBy(*keys, "bucket")
         .agg(F.sum("pairs").cast(BIG).alias("pairs"))
     )

@@ -70,11 +70,9 @@ def require_valid(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         F.lit("schema validation failed for signal "),
         F.coalesce(F.col("signal_id").cast("string"), F.lit("(no id)")),
     )
-    # The check sits inside a kept column, so column pruning cannot drop it.
-    checked = F.when(row_is_valid(cfg), F.col("signal_id")).otherwise(
-        F.raise_error(message).cast("string")
-    )
-    return df.withColumn("signal_id", checked)
+    # A filter stays in the plan whatever is selected later; a column would be pruned with its check.
+    checked = F.when(row_is_valid(cfg), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return df.filter(checked)
 
 
 def split_valid(df: DataFrame, cfg: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:

@@ -165,6 +165,13 @@ def test_window_counts_equal_brute_force(spark, seed):
     assert got == dict(want)
 
 
+def test_bucket_pairs_cross_the_border(spark):
+    minutes = [25, 40, 85]  # 15 minutes apart across the border of half an hour, then 45
+    rows = [(f"S{i}", "log", "A", f"text {i}", DAY + dt.timedelta(minutes=m), "I", 0.5, 0.1) for i, m in enumerate(minutes)]
+    found = timewindow.bucket_pair_counts(spark.createDataFrame(rows, SCHEMA), ["predicted_category"]).filter("pairs > 0")
+    assert [(r["predicted_category"], int(r["pairs"])) for r in found.collect()] == [("A", 1)]
+
+
 def test_window_edge_and_chain(spark):
     at = [DAY, DAY + WINDOW, DAY + 2 * WINDOW + dt.timedelta(microseconds=1)]
     rows = [(f"S{i}", "log", "A", "disk full", t, "I", 0.5, 0.1) for i, t in enumerate(at)]

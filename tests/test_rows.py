@@ -48,6 +48,9 @@ def test_gate_passes_and_stops(spark):
     bad = validate.require_valid(raw(spark, SIGNAL, ("S2", "pager", *SIGNAL[2:])))
     with pytest.raises(PySparkException):
         bad.collect()
+    for later in (bad.select("text"), bad.groupBy("category").count()):
+        with pytest.raises(PySparkException):
+            later.collect()
     with pytest.raises(ValueError):
         validate.require_valid(raw(spark, SIGNAL).drop("text"))
 
