@@ -133,12 +133,13 @@ def repeated_windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     prints = materialise(fingerprints(docs, words), "fingerprints")
     shared = prints.groupBy("fp").agg(F.count("*").alias("places")).filter("places > 1").select("fp")
-    near = prints.join(shared, "fp", "left_semi").select("doc_id", "text_hash", F.explode("windows").alias("w"))
+    # joins of one kind at every size: none of these sides has a bound
+    near = prints.join(shared.hint("merge"), "fp", "left_semi").select("doc_id", "text_hash", F.explode("windows").alias("w"))
     near = materialise(near.select("doc_id", "text_hash", "w.*"), "windows")
     # one row per content: the first place is a minimum, made in part before the shuffle
     place = F.struct("doc_id", "text_hash", "first")
     firsts = near.groupBy("content").agg(F.min(place).alias("origin"), F.count("*").alias("places")).filter("places > 1")
-    later = near.join(firsts.select("content", "origin"), "content").filter(~place.eqNullSafe(F.col("origin")))
+    later = near.join(firsts.select("content", "origin").hint("merge"), "content").filter(~place.eqNullSafe(F.col("origin")))
     return later.select("doc_id", "text_hash", "first", "last")
 
 
@@ -181,7 +182,7 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
     marks = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias(spans))
     marks = materialise(marks.withColumnsRenamed({"doc_id": number, "text_hash": text_hash}), "spans")
     same = base["doc_id"].cast("long").eqNullSafe(marks[number]) & (F.xxhash64(base["text"]) == marks[text_hash])
-    joined = base.join(marks, same, "left").drop(number, text_hash)
+    joined = base.join(marks.hint("merge"), same, "left").drop(number, text_hash)
 
     def run(batches):
         for batch in batches:
