@@ -71,7 +71,9 @@ class Model:
 
 
 def fit_sample(labelled: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
-    """A bounded sample, a like share of every language, chosen by a hash of the text.
+    """A bounded sample, a like share of every language, chosen by a hash of number and text.
+
+    Copies of a text with numbers of their own are chosen one by one, so a text in many rows adds no more than its share.
 
     Common languages get ``FIT_ROWS`` shared among them, every language ``FIT_ROWS_OF_LANGUAGE``.
     """
@@ -81,7 +83,7 @@ def fit_sample(labelled: DataFrame, text: str = "text", label: str = "lang") ->
     if not share:
         return rows.limit(0)
     limit = F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv])
-    point = F.pmod(F.xxhash64(text), F.lit(1 << 24)) / (1 << 24)
+    point = F.pmod(F.xxhash64(*[c for c in ("doc_id", text) if c in rows.columns]), F.lit(1 << 24)) / (1 << 24)
     return rows.filter(point < F.element_at(limit, F.col(label)))
 
 
