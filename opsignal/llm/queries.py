@@ -75,7 +75,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from labels whose remainder is not 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marks = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0).select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(marks, "doc_id"))
+    model = toxicity.fit(docs, marks)
     held = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted", "spans")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from opsignal.llm import textbuf
-from opsignal.llm.common import with_columns
+from opsignal.llm.common import materialise, with_columns
 
 BUCKET_BITS = 18
 #: Labelled documents that a fit looks at, for each of the labels.
@@ -65,12 +65,25 @@ def _noisy_or(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return -np.expm1(total[bounds[1:]] - total[bounds[:-1]])
 
 
-def _sample(labelled: DataFrame) -> DataFrame:
-    rows = labelled.filter("toxic IS NOT NULL AND text IS NOT NULL")
-    counts = {r[0]: r[1] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("y")).count().collect()}
-    share = F.when(F.col("toxic") > 0, F.lit(FIT_ROWS / max(1, counts.get(1, 0)))).otherwise(F.lit(FIT_ROWS / max(1, counts.get(0, 0))))
-    point = F.pmod(F.xxhash64("text"), F.lit(1 << 24)) / (1 << 24)
-    return rows.filter(point < share).select((F.col("toxic") > 0).cast("int").alias("y"), share.alias("share"), "text")
+def _sample(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``y, share, text`` of at most ``FIT_ROWS`` documents of each label, chosen by a hash of their number.
+
+    The choice is made on the labels alone, so that no text is shuffled but those of the sample.
+    """
+    known = marks.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+    known = materialise(known, "labels")
+    counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
+    picked = None
+    for y, n in sorted(counts.items()):
+        part = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+        part = part.select(F.col("doc_id").alias("_of"), "y", F.lit(min(1.0, FIT_ROWS / n)).alias("share"))
+        picked = part if picked is None else picked.unionByName(part)
+    if picked is None:
+        picked = known.select(F.col("doc_id").alias("_of"), "y", F.lit(1.0).alias("share")).limit(0)
+    picked = F.broadcast(materialise(picked, "picked"))  # at most 2 * FIT_ROWS numbers
+    texts = docs.filter("text IS NOT NULL").select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_of"))
+    # of rows that repeat a number, the greatest text; made in part before the shuffle
+    return texts.groupBy("doc_id", "y", "share").agg(F.max("text").alias("text")).select("y", "share", "text")
 
 
 def _bags(sample: DataFrame):
@@ -98,9 +111,13 @@ def _bags(sample: DataFrame):
     return out
 
 
-def fit(labelled: DataFrame, seed: int = 11) -> Model:
-    """Train on ``(text, toxic)`` rows; null texts and labels teach nothing. Without both labels: a constant."""
-    bags = _bags(_sample(labelled))
+def fit(docs: DataFrame, marks: DataFrame, seed: int = 11) -> Model:
+    """Train on ``(doc_id, text)`` rows and labels ``(doc_id, toxic)``.
+
+    Null numbers, texts and labels teach nothing. A document with several labels is toxic if one says
+    so; of rows that repeat a number, one is used. Without both labels: a constant.
+    """
+    bags = _bags(_sample(docs, marks))
     n_docs = max(1, len(bags))
     weights, bias = np.zeros(1 << BUCKET_BITS), START
     if len({b[0] for b in bags}) < 2:

@@ -61,7 +61,7 @@ def toxic_docs(spark):
 
 
 def test_toxicity_learns_from_documents_and_finds_the_sentence(spark, toxic_docs):
-    model = toxicity.fit(toxic_docs.filter("doc_id % 5 > 0"))
+    model = toxicity.fit(toxic_docs, toxic_docs.filter("doc_id % 5 > 0"))
     rows = toxicity.score(toxic_docs.filter("doc_id % 5 = 0"), model).collect()
     assert sum(r["predicted"] == r["toxic"] for r in rows) >= 0.97 * len(rows)
     for r in rows:
@@ -72,10 +72,14 @@ def test_toxicity_learns_from_documents_and_finds_the_sentence(spark, toxic_docs
 
 
 def test_toxicity_edges(spark, toxic_docs, edge_docs, no_docs):
-    model = toxicity.fit(toxic_docs)
+    model = toxicity.fit(toxic_docs, toxic_docs)
     rows = toxicity.score(edge_docs, model).select("text", "score", "predicted", "spans").collect()
     assert len(rows) == edge_docs.count()
     assert all((r["score"], r["predicted"], r["spans"]) == (0, 0, "") for r in rows if not (r["text"] or "").strip())
     assert toxicity.score(no_docs, model).collect() == []
-    constant = toxicity.fit(toxic_docs.filter("toxic = 0"))
+    constant = toxicity.fit(toxic_docs, toxic_docs.filter("toxic = 0"))
     assert constant.weights.any() == False  # noqa: E712
+    empty = toxicity.fit(toxic_docs, toxic_docs.filter("toxic IS NULL"))
+    assert empty.weights.any() == False  # noqa: E712
+    twice = toxicity.fit(toxic_docs.unionByName(toxic_docs), toxic_docs.unionByName(toxic_docs))
+    assert (twice.weights == model.weights).all() and twice.bias == model.bias
