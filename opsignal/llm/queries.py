@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opsignal.llm import decontam, jaccard, langid, linededup, packing, quality, secrets, sharding, toxicity, urlrules
+from opsignal.llm import (
+    convtrie, decontam, jaccard, langid, linededup, packing, quality, recompress, resample, secrets, sharding, toxicity, urlrules,
+)
 from opsignal.llm.common import remainder, table
 
 SHARD_BYTES = 16 << 20
@@ -85,6 +87,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 35 words and more that stand twice."""
+    found = recompress.dedup_substrings(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return convtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight towards the benchmark; five in a hundred are drawn."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` one after the other."""
     import corpus_pipeline
@@ -96,7 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_packing, op3_url_templates, op4_ngram_jaccard, op5_language, op6_line_dedup,
-        op7_decontamination, op8_quality_rules, op9_toxicity, op10_secrets, pipeline,
+        op7_decontamination, op8_quality_rules, op9_toxicity, op10_secrets, op11_substring_dedup, op12_conversation_trie,
+        op13_importance_resampling, pipeline,
     )
 }
 SQL: dict[str, str] = {}
