@@ -134,58 +134,94 @@ def _spaced(data: np.ndarray, words: textbuf.Tokens, kept: np.ndarray) -> tuple[
     return out, before[words.first]
 
 
+def _within(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys stand more than once, and one place of each of those."""
+    _, first, number, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    return count[number] > 1, first[count > 1]
+
+
+def _rows(batch: pa.RecordBatch, names: list[str], *parts: tuple) -> pa.RecordBatch:
+    """``doc_id, text_hash`` (of the batch's rows; -1: null) and further columns from parts one below the other; 0: null."""
+    row = np.concatenate([p[0] for p in parts])
+    at = pa.array(row, mask=row < 0)
+    columns = [batch.column("doc_id").take(at), batch.column("text_hash").take(at)]
+    sizes = [len(p[0]) for p in parts]
+    for k in range(1, len(parts[0])):
+        kind = next(p[k] for p in parts if not isinstance(p[k], int)).type
+        columns.append(pa.concat_arrays([pa.nulls(n, kind) if isinstance(p[k], int) else p[k] for p, n in zip(parts, sizes)]))
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", *names])
+
+
+def _lists(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Values of each row (in order of rows) as lists."""
+    rows, first = np.unique(row, return_index=True)
+    return rows, pa.ListArray.from_arrays(pa.array(np.append(first, len(row)).astype(np.int32)), pa.array(value.astype(np.int32)))
+
+
+def _longs(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.uint64, copy=False).view(np.int64))
+
+
+def _ints(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.int32))
+
+
 def name_texts(docs: DataFrame, window: int, rounds: int) -> DataFrame:
-    """``doc_id, text_hash, name, check, symbol``: symbols of the last round, and a row for the whole text (``symbol`` -1)."""
+    """Symbols of the last round: ``doc_id, text_hash, name, check, symbol, weight, known``.
+
+    Weight 1: a symbol. Weight 2, without a text: a name that stands twice among the texts of a batch, whose
+    symbols are ``known``, one row per text, and need not be looked for. Weight 0: a whole text.
+    """
 
     def run(batches):
         for batch in batches:
-            rows, names, checks, numbers = [], [], [], []
-            for row, _, offsets, data in textbuf.pieces(batch.column("text")):
+            row, name, number, whole, top, check = ([] for _ in range(6))
+            for at, _, offsets, data in textbuf.pieces(batch.column("text")):
                 words, text = _words(offsets, data)
-                size = np.diff(words.first)
-                if not (size >= window).any():
+                long = (np.diff(words.first) >= window)[text]
+                if not long.any():
                     continue
-                long = (size >= window)[text]
                 hashes, text = words.hashes[long], text[long]
-                names_here, of, _ = parse(hashes, text, rounds)
-                starts = np.searchsorted(of, of)
+                symbols, of, _ = parse(hashes, text, rounds)
+                row.append(at + of)
+                name.append(symbols)
+                number.append(np.arange(len(of)) - np.searchsorted(of, of))
                 # the name of a whole text folds its symbols; the words themselves give a second one
-                whole = np.unique(text)
-                top, flat = textbuf.run_sums(names_here), textbuf.run_sums(hashes)
-                ends = [np.searchsorted(x, whole, side=s) for x in (of, text) for s in ("left", "right")]
-                rows += [row + of, row + whole]
-                names += [names_here, textbuf.run_hash(top, ends[0], ends[1])]
-                checks += [np.zeros(len(of), np.uint64), textbuf.run_hash(flat, ends[2], ends[3])]
-                numbers += [np.arange(len(of)) - starts, np.full(len(whole), COPY)]
-            if not rows:
+                texts = np.unique(text)
+                whole.append(at + texts)
+                for out, values, of_text in ((top, symbols, of), (check, hashes, text)):
+                    ends = [np.searchsorted(of_text, texts, side=side) for side in ("left", "right")]
+                    out.append(textbuf.run_hash(textbuf.run_sums(values), *ends))
+            if not row:
                 continue
-            at = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(at),
-                    batch.column("text_hash").take(at),
-                    pa.array(np.concatenate(names).view(np.int64)),
-                    pa.array(np.concatenate(checks).view(np.int64)),
-                    pa.array(np.concatenate(numbers).astype(np.int32)),
-                ],
-                names=["doc_id", "text_hash", "name", "check", "symbol"],
+            row, name, number, whole, top, check = map(np.concatenate, (row, name, number, whole, top, check))
+            twice, one = _within(name)
+            known = _lists(row[twice], number[twice])
+            yield _rows(
+                batch,
+                ["name", "check", "symbol", "weight", "known"],
+                (row[~twice], _longs(name[~twice]), 0, _ints(number[~twice]), _ints(np.ones((~twice).sum())), 0),
+                (np.full(len(one), -1), _longs(name[one]), 0, 0, _ints(np.full(len(one), 2)), 0),
+                (whole, _longs(top), _longs(check), 0, _ints(np.zeros(len(whole))), 0),
+                (known[0], 0, 0, 0, 0, known[1]),
             )
 
-    return docs.mapInArrow(run, f"{_KEY}, name long, check long, symbol int")
+    return docs.mapInArrow(run, f"{_KEY}, name long, check long, symbol int, weight int, known array<int>")
 
 
 def shared_symbols(docs: DataFrame, window: int, rounds: int) -> DataFrame:
     """``doc_id, text_hash, marks``: numbers of a text's shared symbols; ``COPY`` or ``FIRST`` if the whole text stands twice."""
     named = materialise(name_texts(docs, window, rounds), "names")
-    inner, whole = named.filter("symbol >= 0"), named.filter("symbol < 0")
-    twice = inner.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    inner = inner.join(twice.hint("merge"), "name", "left_semi").select("doc_id", "text_hash", "symbol")
-    place = F.struct("doc_id", "text_hash")
+    twice = named.filter("weight > 0").groupBy("name").agg(F.sum("weight").alias("n")).filter("n > 1").select("name")
+    inner = named.filter("weight = 1").join(twice.hint("merge"), "name", "left_semi")
+    inner = inner.groupBy("doc_id", "text_hash").agg(F.collect_set("symbol").alias("marks"))
+    known = named.filter("known IS NOT NULL").select("doc_id", "text_hash", F.col("known").alias("marks"))
+    whole, place = named.filter("weight = 0"), F.struct("doc_id", "text_hash")
     copies = whole.groupBy("name", "check").agg(F.count("*").alias("n"), F.min(place).alias("origin")).filter("n > 1")
     copies = whole.join(copies.hint("merge"), ["name", "check"])
     kind = F.when(place.eqNullSafe(F.col("origin")), FIRST).otherwise(COPY).cast("int")
-    marks = inner.unionByName(copies.select("doc_id", "text_hash", kind.alias("symbol")))
-    return marks.groupBy("doc_id", "text_hash").agg(F.collect_set("symbol").alias("marks"))
+    marks = inner.unionByName(known).unionByName(copies.select("doc_id", "text_hash", F.array(kind).alias("marks")))
+    return marks.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("marks")).alias("marks"))
 
 
 def _keyed(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -202,9 +238,12 @@ def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sign_windows(docs: DataFrame, marks: DataFrame, window: int, rounds: int) -> DataFrame:
-    """``doc_id, text_hash, weight, a, b, at``: signed windows (``at`` their first word) that may be repeated.
+    """Signed windows that may be repeated: ``doc_id, text_hash, weight, a, b, at, starts``.
 
-    The first of a group of copies gives its windows on behalf of all, with weight 2; the others give none.
+    Weight 1: a window, ``at`` its first word. Weight 2, without a text: a signature that stands twice in a
+    batch, whose windows need not be looked for; ``starts``, one row per text, holds as many of their first
+    words as cover the same. The first of a group of copies gives its signatures with weight 2 on behalf of
+    all, the others give none.
     """
 
     def run(batches):
@@ -214,51 +253,57 @@ def sign_windows(docs: DataFrame, marks: DataFrame, window: int, rounds: int) ->
             copy, first = np.zeros(n, bool), np.zeros(n, bool)
             copy[mark_row[mark < 0]] = True
             first[mark_row[mark == FIRST]] = True
-            rows, a, b, at = [], [], [], []
-            for row, end, offsets, data in textbuf.pieces(batch.column("text")):
+            row, a, b, at = [], [], [], []
+            for base, end, offsets, data in textbuf.pieces(batch.column("text")):
                 words, text = _words(offsets, data)
                 start = np.arange(max(0, len(text) - window + 1))
                 start = start[text[start] == text[start + window - 1]]
-                start = start[~copy[row + text[start]] | first[row + text[start]]]
+                start = start[~copy[base + text[start]] | first[base + text[start]]]
                 if not len(start):
                     continue
                 symbols, of, steps = parse(words.hashes, text, rounds)
-                here = (mark >= 0) & (mark_row >= row) & (mark_row < end)
+                here = (mark >= 0) & (mark_row >= base) & (mark_row < end)
                 shared = np.zeros(len(symbols) + 1, np.int64)
-                shared[np.searchsorted(of, mark_row[here] - row) + mark[here] + 1] = 1
+                shared[np.searchsorted(of, mark_row[here] - base) + mark[here] + 1] = 1
                 shared = np.cumsum(shared)
                 left, right = narrow(steps, start, start + window)
-                start = start[(shared[right] - shared[left] == right - left) | first[row + text[start]]]
+                start = start[(shared[right] - shared[left] == right - left) | first[base + text[start]]]
                 signs = np.zeros(len(start), np.uint64)
                 left, right = narrow(steps, start, start + window, signs)
                 with np.errstate(over="ignore"):
                     a.append(textbuf.mix(signs * _C + textbuf.run_hash(textbuf.run_sums(symbols), left, right)))
                 b.append(textbuf.run_hash(textbuf.run_sums(words.hashes), start, start + window))
                 at.append(start - words.first[text[start]])
-                rows.append(row + text[start])
-            if not rows:
+                row.append(base + text[start])
+            if not row:
                 continue
-            row = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(row)),
-                    batch.column("text_hash").take(pa.array(row)),
-                    pa.array(np.where(first[row], 2, 1).astype(np.int32)),
-                    pa.array(np.concatenate(a).view(np.int64)),
-                    pa.array(np.concatenate(b).view(np.int64)),
-                    pa.array(np.concatenate(at).astype(np.int32)),
-                ],
-                names=["doc_id", "text_hash", "weight", "a", "b", "at"],
+            row, a, b, at = map(np.concatenate, (row, a, b, at))
+            twice, one = _within(a ^ textbuf.mix(b))
+            alone = ~twice & ~first[row]
+            vouch = np.concatenate((one, np.flatnonzero(~twice & first[row])))
+            begin, own = at[twice & ~first[row]], row[twice & ~first[row]]
+            new = np.ones(len(own), bool)  # of windows side by side, those a window apart and the last
+            new[1:] = (own[1:] != own[:-1]) | (begin[1:] != begin[:-1] + 1)
+            place = np.arange(len(own)) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))
+            cover = (place % window == 0) | np.append(new[1:], True)[: len(own)]
+            known = _lists(own[cover], begin[cover])
+            yield _rows(
+                batch,
+                ["weight", "a", "b", "at", "starts"],
+                (row[alone], _ints(np.ones(alone.sum())), _longs(a[alone]), _longs(b[alone]), _ints(at[alone]), 0),
+                (np.full(len(vouch), -1), _ints(np.full(len(vouch), 2)), _longs(a[vouch]), _longs(b[vouch]), 0, 0),
+                (known[0], 0, 0, 0, 0, known[1]),
             )
 
-    return _keyed(docs, marks).mapInArrow(run, f"{_KEY}, weight int, a long, b long, at int")
+    return _keyed(docs, marks).mapInArrow(run, f"{_KEY}, weight int, a long, b long, at int, starts array<int>")
 
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, starts``: where repeated windows start in the texts that are no copies."""
-    twice = windows.groupBy("a", "b").agg(F.sum("weight").alias("n")).filter("n > 1").select("a", "b")
+    """``doc_id, text_hash, starts``: where repeated windows start, in up to two rows for a text."""
+    twice = windows.filter("weight > 0").groupBy("a", "b").agg(F.sum("weight").alias("n")).filter("n > 1").select("a", "b")
     found = windows.filter("weight = 1").join(twice.hint("merge"), ["a", "b"], "left_semi")
-    return found.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("starts"))
+    found = found.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("starts"))
+    return found.unionByName(windows.filter("starts IS NOT NULL").select("doc_id", "text_hash", "starts"))
 
 
 def _without(docs: DataFrame, starts: DataFrame, window: int) -> DataFrame:
@@ -305,5 +350,6 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS
     windows = materialise(sign_windows(texts, marks, window, rounds), "windows")
     copies = marks.filter(F.array_contains("marks", COPY) | F.array_contains("marks", FIRST))
     copies = copies.select("doc_id", "text_hash", F.array(F.lit(COPY)).alias("starts"))
-    starts = materialise(repeated_windows(windows).unionByName(copies), "starts")
+    starts = repeated_windows(windows).unionByName(copies).groupBy("doc_id", "text_hash")
+    starts = materialise(starts.agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
     return _without(texts, starts, window)
