@@ -23,26 +23,29 @@ def with_bucket(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return df.withColumns({"bucket": F.floor(t / width), "offset": F.pmod(t, width)})
 
 
-def offset_digits(rows: DataFrame, cell: str, cfg: Config = DEFAULT) -> DataFrame:
-    """``(cell, level, prefix, digits)``: how many rows of a cell carry each digit of their offset.
-
-    An offset is read as base-1024 digits. ``digits`` holds at most 1024 entries
-    however many rows the cell has, and rows are summed map-side.
-    """
+def digits_of(offset: Column, cfg: Config = DEFAULT) -> Column:
+    """``array<(level, prefix, digit)>``: an offset read as base-1024 digits, each with the digits above it."""
     levels = max(1, -(-(cfg.window_micros - 1).bit_length() // _DIGIT_BITS))
-    u = F.col("offset")
-    parts = F.array(
+    return F.array(
         *(
             F.struct(
                 F.lit(i).alias("level"),
-                F.shiftright(u, _DIGIT_BITS * (i + 1)).alias("prefix"),
-                F.shiftright(u, _DIGIT_BITS * i).bitwiseAND(F.lit((1 << _DIGIT_BITS) - 1)).alias("digit"),
+                F.shiftright(offset, _DIGIT_BITS * (i + 1)).alias("prefix"),
+                F.shiftright(offset, _DIGIT_BITS * i).bitwiseAND(F.lit((1 << _DIGIT_BITS) - 1)).alias("digit"),
             )
             for i in range(levels)
         )
     )
+
+
+def offset_digits(rows: DataFrame, cell: str, cfg: Config = DEFAULT) -> DataFrame:
+    """``(cell, level, prefix, digits)``: how many rows of a cell carry each digit of their offset.
+
+    ``digits`` holds at most 1024 entries however many rows the cell has, and rows are
+    summed map-side.
+    """
     return (
-        rows.select(cell, F.inline(parts))
+        rows.select(cell, F.inline(digits_of(F.col("offset"), cfg)))
         .groupBy(cell, "level", "prefix", "digit")
         .agg(F.count("*").alias("n"))
         .groupBy(cell, "level", "prefix")
@@ -50,34 +53,43 @@ def offset_digits(rows: DataFrame, cell: str, cfg: Config = DEFAULT) -> DataFram
     )
 
 
-def partial_pairs(links: DataFrame, rows: DataFrame, cell: str, cfg: Config = DEFAULT) -> DataFrame:
-    """``(early, late, pairs)``: pairs with late offset <= early offset, per link of two cells.
+def pairs_at_digit(early: str, late: str) -> Column:
+    """Pairs of an earlier and a later cell that this digit decides: the later offset is smaller.
 
-    Two offsets compare at the highest digit in which they differ; digits above it
-    are the join key. Equal offsets count at the lowest digit.
+    Equal offsets count at the lowest digit. Both columns hold ``(digit, n)`` under one
+    level and prefix.
     """
-    wanted = links.select(F.col("early").alias(cell)).unionByName(links.select(F.col("late").alias(cell)))
-    digits = offset_digits(rows.join(wanted.distinct(), cell, "left_semi"), cell, cfg)
-    left = digits.select(F.col(cell).alias("early"), "level", "prefix", F.col("digits").alias("d_e"))
-    right = digits.select(F.col(cell).alias("late"), "level", "prefix", F.col("digits").alias("d_l"))
+
     def later_at_or_below(e: Column) -> Column:
         """Rows of the later cell that fit one digit of the earlier; a plain count."""
         fits = F.filter(
-            "d_l",
+            late,
             lambda x: (x["digit"] < e["digit"]) | ((F.col("level") == 0) & (x["digit"] == e["digit"])),
         )
         return F.aggregate(fits, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
 
-    counted = F.aggregate(
-        "d_e",
+    return F.aggregate(
+        early,
         F.lit(0).cast(BIG),
         lambda acc, e: (acc + pair_product(later_at_or_below(e), e["n"])).cast(BIG),
     )
+
+
+def partial_pairs(links: DataFrame, rows: DataFrame, cell: str, cfg: Config = DEFAULT) -> DataFrame:
+    """``(early, late, pairs)``: pairs with late offset <= early offset, per link of two cells.
+
+    Two offsets compare at the highest digit in which they differ; digits above it
+    are the join key. Equal offsets count at the lowest digit.
+    """
+    wanted = links.select(F.col("early").alias(cell)).unionByName(links.select(F.col("late").alias(cell)))
+    digits = offset_digits(rows.join(wanted.distinct(), cell, "left_semi"), cell, cfg)
+    left = digits.select(F.col(cell).alias("early"), "level", "prefix", F.col("digits").alias("d_e"))
+    right = digits.select(F.col(cell).alias("late"), "level", "prefix", F.col("digits").alias("d_l"))
     return (
         links.join(left, "early")
         .join(right, ["late", "level", "prefix"])
         .groupBy("early", "late")
-        .agg(F.sum(counted).cast(BIG).alias("pairs"))
+        .agg(F.sum(pairs_at_digit("d_e", "d_l")).cast(BIG).alias("pairs"))
     )
 
 
@@ -94,6 +106,17 @@ def bucket_pair_counts(df: DataFrame, keys: list[str], cfg: Config = DEFAULT) ->
 
     A pair across a bucket border belongs to the bucket before the border.
     """
+    edges = cell_edges(df, keys, cfg)
+    return edges.groupBy(*keys, F.col("early").alias("bucket")).agg(F.sum("pairs").cast(BIG).alias("pairs"))
+
+
+def cell_edges(df: DataFrame, keys: list[str], cfg: Config = DEFAULT) -> DataFrame:
+    """``(*keys, early, late, pairs)``: candidate edges between cells, the signals of one key and bucket.
+
+    An edge joins a cell with itself or with that of the next bucket and carries the exact
+    number of signal pairs within the window that it stands for (0: none, the edge is kept
+    out), so there are at most two edges a cell, however many signals it holds.
+    """
     rows = with_bucket(df, cfg)
     for k in keys:
         rows = rows.filter(F.col(k).isNotNull())
@@ -113,10 +136,7 @@ def bucket_pair_counts(df: DataFrame, keys: list[str], cfg: Config = DEFAULT) ->
     whole = near.filter("hi_l <= lo").select(*keys, "bucket", pair_product(F.col("n"), F.col("n_l")).alias("pairs"))
     split = near.filter("hi_l > lo")
     part = split.join(partial_pairs(split.select("early", "late"), rows, "cell", cfg), ["early", "late"])
-    inside = cells.select(*keys, "bucket", pair_count(F.col("n")).alias("pairs"))
-    return (
-        inside.unionByName(whole)
-        .unionByName(part.select(*keys, "bucket", "pairs"))
-        .groupBy(*keys, "bucket")
-        .agg(F.sum("pairs").cast(BIG).alias("pairs"))
-    )
+    across = whole.unionByName(part.select(*keys, "bucket", "pairs"))
+    inside = cells.select(*keys, "bucket", F.col("bucket").alias("late"), pair_count(F.col("n")).cast(BIG).alias("pairs"))
+    both = inside.unionByName(across.withColumn("late", F.col("bucket") + 1).select(*inside.columns))
+    return both.filter("pairs > 0").withColumnRenamed("bucket", "early")

@@ -210,6 +210,18 @@ def j7(spark, sf):
     return narrow_counts(timewindow.window_pair_counts(df, ["source_type"]), "pairs")
 
 
+@query(
+    "q_j7_window_edges",
+    C.with_(C.EVENT)
+    + """SELECT a.category, epoch_us(least(a.timestamp, b.timestamp)) // 1800000000 AS early,
+ epoch_us(greatest(a.timestamp, b.timestamp)) // 1800000000 AS late, count(*) AS pairs
+ FROM event_signals a JOIN event_signals b ON a.category = b.category AND a.signal_id < b.signal_id
+ AND abs(epoch_us(a.timestamp) - epoch_us(b.timestamp)) <= 1800000000 GROUP BY 1, 2, 3""",
+)
+def j7_edges(spark, sf):
+    return narrow_counts(timewindow.cell_edges(views.signals(spark, sf, "event_signals"), ["category"]), "pairs")
+
+
 @query(
     "q_j9_category_agreement",
     C.with_(C.EVENT, C.predictions("event_signals"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named is None:
         named = spark.sparkContext.getCheckpointDir()
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="opsignal-")
         spark.sparkContext.setCheckpointDir(named)
@@ -38,6 +39,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked of the file system the path names."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
