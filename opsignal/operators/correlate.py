@@ -11,6 +11,8 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsignal.config import Config, DEFAULT
@@ -21,11 +23,23 @@ from opsignal.functions.text import snippet
 from opsignal.operators.evaluate import evaluate_group_counts
 from opsignal.operators.components import connected_components
 from opsignal.operators.ranking import global_rank
-from opsignal.operators.similarity import index_vectors, prefix_index, reaches, side, verify
+from opsignal.operators.similarity import (
+    index_dense,
+    index_vectors,
+    prefix_index,
+    reaches,
+    resolve_backend,
+    side,
+    vector_key,
+    verify,
+)
 from opsignal.operators.timewindow import partial_pairs, with_bucket
 from opsignal.session import materialise
 
 _CELL = ["predicted_category", "key", "bucket"]
+#: Cells of one bucket that a task multiplies with as many others.
+CELLS_PER_BLOCK = 1024
+_SAME, _EARLY, _LATE = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -43,10 +57,9 @@ class Links:
     cfg: Config
 
 
-def placed(df: DataFrame, text_column: str, cfg: Config) -> DataFrame:
+def placed(df: DataFrame, key: Column, cfg: Config) -> DataFrame:
     """Signals with their cell columns; without a category a signal matches nothing."""
-    out = df.filter(F.col("predicted_category").isNotNull()).withColumn("key", F.md5(text_column))
-    return with_bucket(out, cfg)
+    return with_bucket(df.filter(F.col("predicted_category").isNotNull()).withColumn("key", key), cfg)
 
 
 def _column_or(df: DataFrame, name: str, default: Column) -> Column:
@@ -79,26 +92,103 @@ def link_signals(
     threshold: float | None = None,
     text_column: str = "preprocessed_text",
     cfg: Config = DEFAULT,
+    backend: str = "auto",
+    vector: str = "embedding",
 ) -> Links:
-    """Find all accepted links. ``df`` carries ``predicted_category`` and the text.
+    """Find all accepted links. ``df`` carries ``predicted_category`` and the text or a vector.
 
-    Gate order: category and time bucket are join keys together with a rare shared
-    term; only what passes the prefix bound gets its exact cosine.
+    ``backend``: ``dense`` compares vectors, ``lexical`` TF-IDF weights of the text, ``auto``
+    takes vectors where there are any. In either case category and time bucket gate the
+    comparison before any score is made.
     """
     threshold = cfg.similarity_threshold if threshold is None else threshold
-    signals = placed(df, text_column, cfg)
-    vectors = index_vectors(df, threshold, text_column)
-    # A text without terms is similar to nothing, not even to its copies.
-    cells = materialise(
-        build_cells(signals, cfg).join(vectors.select("key", "vid"), "key"), "cells"
-    )
-    pairs = materialise(cell_candidates(cells, vectors, threshold), "candidates")
-    texts = pairs.select("vid_a", "vid_b").distinct()
-    crossing = pairs.join(verify(texts, vectors, threshold), ["vid_a", "vid_b"]).drop("vid_a", "vid_b")
+    if resolve_backend(df, backend, vector) == "dense":
+        signals = placed(df, vector_key(vector), cfg)
+        vectors = index_dense(df, vector)
+        cells = materialise(build_cells(signals, cfg).join(vectors.select("key", "vid"), "key"), "cells")
+        crossing = materialise(dense_links(cells, vectors, threshold), "crossing")
+    else:
+        signals = placed(df, F.md5(text_column), cfg)
+        vectors = index_vectors(df, threshold, text_column)
+        # A text without terms is similar to nothing, not even to its copies.
+        cells = materialise(build_cells(signals, cfg).join(vectors.select("key", "vid"), "key"), "cells")
+        crossing = lexical_links(cells, vectors, threshold)
     linked = materialise(crossing.unionByName(same_text_links(cells)), "links")
     return Links(signals, vectors, cells, count_pairs(linked, signals, cells, cfg), cfg)
 
 
+def lexical_links(cells: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """Links between cells of different texts.
+
+    Category and time bucket are join keys together with a rare shared term; only what
+    passes the prefix bound gets its exact cosine.
+    """
+    pairs = materialise(cell_candidates(cells, vectors, threshold), "candidates")
+    texts = pairs.select("vid_a", "vid_b").distinct()
+    return pairs.join(verify(texts, vectors, threshold), ["vid_a", "vid_b"]).drop("vid_a", "vid_b")
+
+
+def dense_links(cells: DataFrame, vectors: DataFrame, threshold: float, block_rows: int = CELLS_PER_BLOCK) -> DataFrame:
+    """Links between cells of different vectors, block by block inside category and touching buckets.
+
+    The cells of a category and bucket are dealt into blocks; a task multiplies two blocks of
+    one bucket or of neighbouring ones, whatever the size of the bucket, and gives out the
+    pairs from ``threshold`` on.
+    """
+    at = ["predicted_category", "bucket"]
+    blocks = cells.groupBy(*at).agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
+    blocks = materialise(blocks, "cell_blocks")
+    rows = cells.select(*at, "node", "vid", "n", "lo", "hi").join(vectors.select("vid", "vector"), "vid").join(blocks, at)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+    def beside(step: int) -> DataFrame:
+        """Rows with the number of blocks in the bucket ``step`` away."""
+        other = blocks.select("predicted_category", (F.col("bucket") - step).alias("bucket"), F.col("blocks").alias("others"))
+        return rows.join(other, at)
+
+    def dealt(met: DataFrame, others: str, i: Column, j: Column, bucket: Column, side: int) -> DataFrame:
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+        return met.select(
+            "predicted_category", bucket.alias("bucket"), i.alias("i"), j.alias("j"), F.lit(side).alias("side"),
+            "own", "node", "vid", "n", "lo", "hi", "vector",
+        )
+
+    own, other, bucket = F.col("own"), F.col("other"), F.col("bucket")
+    sent = (
+        dealt(rows, "blocks", F.least(own, other), F.greatest(own, other), bucket, _SAME)
+        .unionByName(dealt(beside(1), "others", own, other, bucket, _EARLY))
+        .unionByName(dealt(beside(-1), "others", other, own, bucket - 1, _LATE))
+        .withColumn("adjacent", F.col("side") != _SAME)
+    )
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        matrix = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
+        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+        first, side, i, j = pdf["own"].to_numpy(), pdf["side"].to_numpy(), pdf["i"].iat[0], pdf["j"].iat[0]
+        if side[0] == _SAME:
+            left, right = np.flatnonzero(first == i), np.flatnonzero(first == j)
+        else:
+            left, right = np.flatnonzero(side == _EARLY), np.flatnonzero(side == _LATE)
+        cosine = matrix[left] @ matrix[right].T
+        x, y = np.nonzero(cosine >= threshold)
+        score, e, l = cosine[x, y], left[x], right[y]
+        vid, node = pdf["vid"].to_numpy(), pdf["node"].to_numpy()
+        if side[0] == _SAME:
+            once = (node[e] < node[l]) if i == j else np.ones(len(e), bool)
+            e, l = np.where(node[e] < node[l], e, l), np.where(node[e] < node[l], l, e)
+        else:  # copies in neighbouring buckets are linked without a product
+            once = (vid[e] != vid[l]) & (pdf["lo"].to_numpy()[l] <= pdf["hi"].to_numpy()[e])
+        e, l, score = e[once], l[once], score[once]
+        out = {"early": node[e], "late": node[l]}
+        for c in ("n", "lo", "hi"):
+            out |= {f"{c}_e": pdf[c].to_numpy()[e], f"{c}_l": pdf[c].to_numpy()[l]}
+        return pd.DataFrame(out | {"adjacent": side[0] != _SAME, "cosine": score})
+
+    kinds = "early bigint, late bigint, n_e bigint, n_l bigint, lo_e bigint, lo_l bigint, hi_e bigint, hi_l bigint"
+    found = sent.groupBy(*at, "i", "j", "adjacent").applyInPandas(multiply, f"{kinds}, adjacent boolean, cosine double")
+    return found.select("early", "late", "n_e", "n_l", "lo_e", "hi_e", "lo_l", "hi_l", "adjacent", "cosine")
+
+
 def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs of cells of one category with different texts, close in time, that may be similar.
 
@@ -282,9 +372,11 @@ def correlate_signals(
     threshold: float | None = None,
     text_column: str = "preprocessed_text",
     cfg: Config = DEFAULT,
+    backend: str = "auto",
+    vector: str = "embedding",
 ) -> Correlation:
-    """Signals with ``predicted_category, confidence, anomaly_score`` to ranked groups."""
-    links = link_signals(df, threshold, text_column, cfg)
+    """Signals with ``predicted_category, confidence, anomaly_score`` to ranked groups (backends: ``link_signals``)."""
+    links = link_signals(df, threshold, text_column, cfg, backend, vector)
     labels = materialise(group_labels(links), "labels")
     return Correlation(links, labels, ranked_groups(group_headers(links, labels)))
 

@@ -114,9 +114,11 @@ def similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
 
 def text_members(df: DataFrame, text_column: str = "preprocessed_text") -> DataFrame:
     """``(key, first_id, copies)``: what a text key stands for."""
-    return df.groupBy(F.md5(text_column).alias("key")).agg(
-        F.min("signal_id").alias("first_id"), F.count("*").alias("copies")
-    )
+    return members_of(df, F.md5(text_column))
+
+
+def members_of(df: DataFrame, key: Column) -> DataFrame:
+    return df.groupBy(key.alias("key")).agg(F.min("signal_id").alias("first_id"), F.count("*").alias("copies"))
 
 
 def similar_pairs(
@@ -232,6 +234,23 @@ def top_k_similar(
 BLOCK_ROWS = 2048
 
 
+def vector_key(vector: str = "embedding") -> Column:
+    """A digest of a vector's values, the same for equal vectors."""
+    return F.md5(F.array_join(F.transform(vector, lambda x: x.cast("string")), ","))
+
+
+def index_dense(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """``(key, vid, vector)``: the written distinct vectors, each with a short number.
+
+    Null vectors, those with a null or not a number in them and those of length zero are
+    similar to nothing, not even to copies, and are left out. Numbers are taken as doubles.
+    """
+    square = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    good = df.filter((square > 0) & ~F.isnan(square) & (square < float("inf")))
+    distinct = good.groupBy(vector_key(vector).alias("key")).agg(F.first(F.col(vector).cast("array<double>")).alias("vector"))
+    return materialise(distinct.withColumn("vid", F.monotonically_increasing_id()), "vectors")
+
+
 def distinct_vectors(df: DataFrame, vector: str = "embedding", keys: tuple[str, ...] = ()) -> DataFrame:
     """``(first_id, copies, vector, *keys)``: equal vectors (within ``keys``) become one row."""
     return df.groupBy(*keys, F.col(vector).alias("vector")).agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsignal.config import DEFAULT
+from opsignal.functions.clock import with_time_features
 from opsignal.operators import anomaly, correlate, preprocess, similarity
 from opsignal.plans import checksql as C
 from opsignal.plans.rows import scored_ctes
@@ -72,6 +73,22 @@ def build_prepared(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def prepared_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Vector signals with anomaly scores and predictions."""
+
+    def build():
+        raw = with_time_features(views.signals(spark, sf, "vector_signals"))
+        predicted = views.predictions(raw).select("signal_id", "predicted_category", "confidence")
+        return materialise(anomaly.score_anomalies(raw).join(predicted, "signal_id"), "prepared_vectors")
+
+    return stage(spark, sf, "prepared_vectors", build)
+
+
+def correlated_vectors(spark: SparkSession, sf: str) -> correlate.Correlation:
+    build = lambda: correlate.correlate_signals(prepared_vectors(spark, sf), backend="dense")
+    return stage(spark, sf, "correlated_vectors", build)
+
+
 _TIMED = """timed AS (SELECT *, CAST(hour(timestamp) AS INTEGER) AS hour,
  (hour(timestamp) BETWEEN 8 AND 17) AND (isodow(timestamp) BETWEEN 1 AND 5) AS is_business_hours
  FROM preprocessed)"""
@@ -102,6 +119,23 @@ VECTORS = (
 )
 
 
+# The same names over vectors, so that what follows from candidate pairs reads them alike.
+DENSE = (
+    C.VEC,
+    C.predictions("vector_signals"),
+    _TIMED.replace("FROM preprocessed", "FROM vector_signals"),
+    *scored_ctes("timed"),
+    f"""corpus AS MATERIALIZED (SELECT s.*, s.embedding::DOUBLE[] AS v, p.predicted_category, p.confidence,
+ {C.SOURCE_WEIGHT.format(c='source_type')} AS weight FROM scored s JOIN predictions p USING (signal_id))""",
+    """weights AS MATERIALIZED (SELECT v, min(signal_id) AS key, count(*) AS copies FROM corpus
+ WHERE list_dot_product(v, v) > 0 GROUP BY 1)""",
+    """text_pairs AS MATERIALIZED (SELECT a.key AS key_a, b.key AS key_b,
+ list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) AS cosine
+ FROM weights a JOIN weights b ON a.key < b.key)""",
+    "members AS MATERIALIZED (SELECT c.*, w.key, w.copies FROM corpus c JOIN weights w USING (v))",
+)
+
+
 def edges(threshold: float = 0.25, minutes: int = 30) -> tuple[str, ...]:
     return (
         f"""gated AS (SELECT a.signal_id AS a, b.signal_id AS b, a.predicted_category AS predicted_category,

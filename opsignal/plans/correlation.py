@@ -13,12 +13,16 @@ from opsignal.plans.corpus import (
     COMPONENTS,
     CORPUS,
     CORRELATED,
+    DENSE,
     GROUP_COLUMNS,
+    HEADERS,
     VECTORS,
     corpus_index,
     correlated,
+    correlated_vectors,
     edges,
     prepared,
+    prepared_vectors,
     text_pairs,
 )
 from opsignal.plans.registry import query
@@ -247,6 +251,17 @@ def j10(spark, sf):
     return narrow_counts(correlate.gated_pairs(links, similarity.text_members(prepared(spark, sf))), "pairs")
 
 
+@query(
+    "q_j10_dense_gated_pairs",
+    C.with_(*DENSE, *edges())
+    + """SELECT predicted_category, key_a AS signal_a, key_b AS signal_b, units / 10000::DOUBLE AS similarity,
+ count(*) AS pairs FROM edges GROUP BY 1, 2, 3, 4""",
+)
+def j10_dense(spark, sf):
+    members = similarity.members_of(prepared_vectors(spark, sf), similarity.vector_key())
+    return narrow_counts(correlate.gated_pairs(correlated_vectors(spark, sf).links, members), "pairs")
+
+
 @query(
     "q_c1_gate_edges",
     ON_EDGES
@@ -271,6 +286,14 @@ def c10(spark, sf):
     return flat(correlated(spark, sf).groups)
 
 
+@query(
+    "q_c10_dense_correlation",
+    C.recursive(*DENSE, *edges(), *COMPONENTS, *HEADERS) + f"SELECT {GROUP_COLUMNS} FROM ranked",
+)
+def c10_dense(spark, sf):
+    return flat(correlated_vectors(spark, sf).groups)
+
+
 @query(
     "q_c2_connected_components",
     C.recursive(*CORPUS, *VECTORS, *edges(), *COMPONENTS) + "SELECT signal_id, root AS component FROM labels",
