@@ -26,6 +26,7 @@ from opsignal.operators.ranking import global_rank
 from opsignal.operators.similarity import (
     index_dense,
     index_vectors,
+    may_begin,
     prefix_index,
     reaches,
     resolve_backend,
@@ -193,25 +194,26 @@ def cell_candidates(cells: DataFrame, vectors: DataFrame, threshold: float) -> D
     """Pairs of cells of one category with different texts, close in time, that may be similar.
 
     ``(early, late, n_e, n_l, lo_e, hi_e, lo_l, hi_l, adjacent, vid_a, vid_b)``. The
-    join key is one hash of category, bucket and term, so its rows stay short; a
-    clash of hashes only adds a candidate, and the cells are compared after it.
+    join key is one hash of category, bucket and term, so its rows stay short; the
+    terms are compared with it, category and bucket after it.
     """
     index = cells.select("node", "predicted_category", "bucket", "vid").join(prefix_index(vectors), "vid")
 
     def entry(slot: Column) -> Column:
         return F.xxhash64("predicted_category", slot, "id")
 
-    narrow = index.select(entry(F.col("bucket")).alias("h"), "node", "bucket", "w", "suffix")
+    carried = ["id", "node", "bucket", "w", "upto", "rest"]
+    narrow = index.select(entry(F.col("bucket")).alias("h"), *carried)
     # The earlier side looks at its own bucket and the next one.
     both = F.array(entry(F.col("bucket")), entry(F.col("bucket") - 1))
-    late = side(index.select(F.explode(both).alias("h"), "node", "bucket", "w", "suffix"), "b")
+    late = side(index.select(F.explode(both).alias("h"), *carried), "b")
     ordered = F.when(F.col("bucket_a") == F.col("bucket_b"), F.col("node_a") < F.col("node_b")).otherwise(
         F.col("bucket_a") + 1 == F.col("bucket_b")
     )
     met = (
         side(narrow, "a")
         .hint("merge")
-        .join(late, (F.col("h_a") == F.col("h_b")) & ordered)
+        .join(late, (F.col("h_a") == F.col("h_b")) & (F.col("id_a") == F.col("id_b")) & ordered & may_begin(threshold))
         .groupBy("node_a", "node_b")
         .agg(reaches(threshold).alias("_ok"))
         .filter("_ok")

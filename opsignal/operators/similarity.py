@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,12 @@ from opsignal.session import materialise
 _SLACK = 1e-9
 
 
-TEXTS_PER_BLOCK = 1024
+#: Candidates scored together, on average; a group also holds the vectors they ask for.
+PAIRS_PER_GROUP = 4096
+#: Postings of a term that meet in one join key; a term with more is dealt into blocks.
+POSTINGS_PER_KEY = 4096
+#: Ratio of the lengths at both ends of a band of postings.
+_BAND = 1.1
 
 
 def index_vectors(df: DataFrame, threshold: float, text_column: str = "preprocessed_text") -> DataFrame:
@@ -32,16 +38,21 @@ def index_vectors(df: DataFrame, threshold: float, text_column: str = "preproces
 
 
 def prefix_index(vectors: DataFrame) -> DataFrame:
-    """``(vid, suffix, id, w)``: one row per prefix term."""
-    return vectors.select("vid", "suffix", F.inline("prefix"))
+    """``(vid, id, w, upto, rest)``: one row per prefix term."""
+    return vectors.select("vid", F.inline("prefix"))
+
+
+def may_begin(threshold: float) -> Column:
+    """Whether a shared term can be the first one of a similar pair, or follow it closely."""
+    return F.col("upto_a") * F.col("upto_b") >= F.lit(threshold - _SLACK)
 
 
 def reaches(threshold: float) -> Column:
-    """Upper bound of the cosine from the shared prefix terms against the threshold.
+    """Upper bound of the cosine against the threshold, from the shared terms met so far.
 
-    Shared terms outside both prefixes are at most one text's suffix long.
+    Shared terms that were not met stand behind the last one that was.
     """
-    bound = F.sum(F.col("w_a") * F.col("w_b")) + F.max(F.greatest("suffix_a", "suffix_b"))
+    bound = F.sum(F.col("w_a") * F.col("w_b")) + F.min(F.col("rest_a") * F.col("rest_b"))
     return bound >= F.lit(threshold - _SLACK)
 
 
@@ -49,33 +60,90 @@ def side(df: DataFrame, name: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{c}_{name}") for c in df.columns))
 
 
+def dealt_postings(index: DataFrame, threshold: float, per_key: int = POSTINGS_PER_KEY) -> DataFrame:
+    """The index with ``i, j, own``: which two blocks of its term a row is compared in, and its own.
+
+    A term with at most ``per_key`` postings is one block. The postings of a more frequent one
+    are dealt into bands of like ``upto`` and each band into blocks of about ``per_key``; a row
+    is sent to the pairs of its block with those blocks whose ``upto`` suffices for the
+    threshold. Texts that consist mostly of rarer terms meet few others in a frequent one.
+    """
+    band = F.floor(-F.log("upto") / F.lit(math.log(_BAND))).cast("int")
+    index = index.withColumn("band", F.greatest(band, F.lit(0)))
+    frequent = index.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > per_key).select("id")
+    frequent = materialise(frequent, "frequent")
+    rare = index.join(frequent, "id", "left_anti").drop("band")
+    zero = F.lit(0).cast("long")
+    rare = rare.withColumns({"i": zero, "j": zero, "own": zero})
+    # At most as many bands as the lengths from 1 down to the threshold make.
+    sizes = (
+        index.join(frequent, "id", "left_semi").groupBy("id", "band")
+        .agg(F.ceil(F.count("*") / F.lit(per_key)).cast("int").alias("blocks"))
+        .groupBy("id").agg(F.collect_list(F.struct("band", "blocks")).alias("bands"))
+    )
+    code = lambda band, block: band.cast("long") * F.lit(1 << 32) + block
+    top = lambda band: F.pow(F.lit(_BAND), -band)
+    hot = index.join(sizes, "id")
+    mine = F.element_at(F.filter("bands", lambda b: b["band"] == F.col("band")), 1)["blocks"]
+    hot = hot.withColumn("own", code(F.col("band"), F.pmod(F.xxhash64("vid"), mine)))
+    near = F.filter("bands", lambda b: top(b["band"]) * top(F.col("band")) >= F.lit(threshold - 1e-6))
+    others = F.flatten(F.transform(near, lambda b: F.transform(F.sequence(F.lit(0), b["blocks"] - 1), lambda k: code(b["band"], k))))
+    hot = hot.withColumn("other", F.explode(others))
+    hot = hot.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    return rare.unionByName(hot.select(*rare.columns))
+
+
+def meeting_postings(index: DataFrame, threshold: float, per_key: int = POSTINGS_PER_KEY) -> DataFrame:
+    """Pairs of postings of one term, ``vid_a < vid_b``, that can belong to a similar pair."""
+    dealt = dealt_postings(index, threshold, per_key)
+    a, b = side(dealt, "a"), side(dealt, "b")
+    at = (F.col("id_a") == F.col("id_b")) & (F.col("i_a") == F.col("i_b")) & (F.col("j_a") == F.col("j_b"))
+    # In a pair of two blocks every pair of rows is met twice, from either side, as in one block.
+    across = (F.col("i_a") == F.col("j_a")) | (F.col("own_a") != F.col("own_b"))
+    return a.hint("merge").join(b, at & across & (F.col("vid_a") < F.col("vid_b")) & may_begin(threshold))
+
+
 def _score_block(pairs: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-    """Dot products of id-sorted sparse vectors, one numpy lookup per pair."""
-    known = {v: (i, w) for v, i, w in zip(vectors["vid"], vectors["ids"], vectors["ws"])}
+    """Dot products of sparse vectors: the terms of all first texts are looked up in the second ones at once."""
+    ids = np.concatenate(vectors["ids"].to_numpy())
+    ws = np.concatenate(vectors["ws"].to_numpy())
+    size = vectors["ids"].map(len).to_numpy()
+    first = np.concatenate(([0], np.cumsum(size)))
+    _, term = np.unique(ids, return_inverse=True)
+    row = np.repeat(np.arange(len(vectors)), size)
+    stored = (row << 32) | term
+    by = np.argsort(stored)
+    stored, weight = stored[by], ws[by]
+    number = pd.Series(np.arange(len(vectors)), index=vectors["vid"].to_numpy())
+    a, b = (number.loc[pairs[c]].to_numpy() for c in ("vid_a", "vid_b"))
+    a, b = np.where(size[a] <= size[b], a, b), np.where(size[a] <= size[b], b, a)
     out = np.zeros(len(pairs))
-    for n, (a, b) in enumerate(zip(pairs["vid_a"], pairs["vid_b"])):
-        (ia, wa), (ib, wb) = known[a], known[b]
-        if len(ia) > len(ib):
-            ia, wa, ib, wb = ib, wb, ia, wa
-        at = np.searchsorted(ib, ia)
-        at[at == len(ib)] = 0
-        out[n] = np.dot(wa, np.where(ib[at] == ia, wb[at], 0.0))
+    for low in range(0, len(pairs), 1024):  # so many terms at a time as a thousand texts have
+        x, y = a[low : low + 1024], b[low : low + 1024]
+        n = size[x]
+        start = np.concatenate(([0], np.cumsum(n)))
+        at = np.arange(start[-1]) + np.repeat(first[x] - start[:-1], n)
+        wanted = (np.repeat(y, n) << 32) | term[at]
+        found = np.minimum(np.searchsorted(stored, wanted), len(stored) - 1)
+        product = np.where(stored[found] == wanted, ws[at] * weight[found], 0.0)
+        out[low : low + 1024] = np.add.reduceat(product, start[:-1])
     return pd.DataFrame({"vid_a": pairs["vid_a"], "vid_b": pairs["vid_b"], "cosine": out})
 
 
 def verify(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """``(vid_a, vid_b, cosine)`` of distinct candidate pairs from ``threshold`` on (inclusive).
 
-    Texts are dealt into blocks of about a thousand. All candidates between two
-    blocks are scored together, and a vector travels once per block pair that asks
-    for it, not once per candidate. A task holds at most two blocks.
+    Texts are dealt into so many blocks that about ``PAIRS_PER_GROUP`` candidates fall to a pair
+    of blocks. They are scored together, and a vector travels once per block pair that asks for
+    it, not once per candidate.
     """
-    blocks = F.lit(max(1, -(-vectors.count() // TEXTS_PER_BLOCK)))
+    pairs = materialise(pairs.select("vid_a", "vid_b"), "asked")
+    blocks = F.lit(max(1, math.isqrt(2 * pairs.count() // PAIRS_PER_GROUP)))
 
     def block(vid: str) -> Column:
         return F.pmod(F.xxhash64(vid), blocks)
 
-    dealt = pairs.select("vid_a", "vid_b", block("vid_a").alias("i"), block("vid_b").alias("j"))
+    dealt = pairs.select("vid_a", "vid_b", F.least(block("vid_a"), block("vid_b")).alias("i"), F.greatest(block("vid_a"), block("vid_b")).alias("j"))
     ends = dealt.select(
         F.col("i").alias("p"), F.col("j").alias("q"), F.explode(F.array("vid_a", "vid_b")).alias("vid")
     ).distinct()
@@ -88,24 +156,16 @@ def verify(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     return scored.filter(F.col("cosine") >= threshold)
 
 
-def similar_texts(vectors: DataFrame, threshold: float) -> DataFrame:
+def similar_texts(vectors: DataFrame, threshold: float, per_key: int = POSTINGS_PER_KEY) -> DataFrame:
     """``(key_a, key_b, cosine)`` for pairs of different texts, ``key_a < key_b``.
 
-    ``vectors`` must have been built for a threshold not above this one.
+    ``vectors`` must have been built for a threshold not above this one, which is above 0.
     """
-    index = prefix_index(vectors)
-    met = (
-        side(index, "a")
-        .hint("merge")
-        .join(side(index, "b"), (F.col("id_a") == F.col("id_b")) & (F.col("vid_a") < F.col("vid_b")))
-        .groupBy("vid_a", "vid_b")
-        .agg(reaches(threshold).alias("_ok"))
-        .filter("_ok")
-    )
-    candidates = materialise(met.select("vid_a", "vid_b"), "candidates")
+    met = meeting_postings(prefix_index(vectors), threshold, per_key).groupBy("vid_a", "vid_b")
+    met = met.agg(reaches(threshold).alias("_ok")).filter("_ok")
     names = vectors.select("vid", "key")
     return (
-        verify(candidates, vectors, threshold)
+        verify(met, vectors, threshold)
         .join(side(names, "a").withColumnRenamed("key_a", "a"), "vid_a")
         .join(side(names, "b").withColumnRenamed("key_b", "b"), "vid_b")
         .select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"), "cosine")

@@ -146,45 +146,35 @@ def similarity_tfidf(df: DataFrame, text_column: str = "preprocessed_text") -> D
 def text_vectors(df: DataFrame, threshold: float, text_column: str = "preprocessed_text") -> DataFrame:
     """One row per distinct text with terms: its unit vector and its searchable prefix.
 
-    Terms are ordered from rare to common, the same for all texts. The *suffix* is
-    the longest run of most common terms whose length stays below ``threshold / 2``;
-    the *prefix* is the rest. Two texts whose prefixes share no term have a cosine
-    below that length, so a join on prefix terms alone finds every similar pair,
-    and the most common terms, the hot join keys, never enter the join.
+    Terms are ordered from rare to common, the same for all texts. Every term of a text carries
+    ``upto``, the length of the text's part from that term on, and ``rest``, that of the part
+    behind it. The first term two texts share is followed by all others they share, so their
+    cosine is at most ``upto_a * upto_b`` there: a term whose ``upto`` is below the threshold can
+    be no first shared term of a similar pair. The *prefix* holds the other terms; the most common
+    ones, the hot join keys, stay out of it.
     """
-    limit = (threshold / 2 - 1e-9) ** 2
+    if threshold <= 0:
+        raise ValueError("a prefix needs a threshold above 0: below, texts without a shared term belong to the result")
     # From here on a term is its 64-bit hash, which keeps the shuffled rows short.
-    grouped = (
-        similarity_weights(df, text_column)
-        .select("key", "copies", "df", F.xxhash64("term").alias("id"), "raw")
-        .groupBy("key", "copies")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("df", "id", "raw")), asc=False).alias("_terms"),
-            F.sum(F.col("raw") * F.col("raw")).alias("_total"),
-        )
+    raw = similarity_weights(df, text_column).select("key", "copies", "df", F.xxhash64("term").alias("id"), "raw")
+    # One text's terms share a partition: the group is bounded by the text.
+    text = Window.partitionBy("key")
+    common = text.orderBy(F.desc("df"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    square = F.col("raw") * F.col("raw")
+    measured = raw.select(
+        "key", "copies", "id", "raw", F.sum(square).over(common).alias("_upto"), F.sum(square).over(text).alias("_total")
     )
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.lit(0.0).alias("suffix"))
-
-    def take_common(acc: Column, x: Column) -> Column:
-        upto = acc["sum"] + x["raw"] * x["raw"] / F.col("_total")
-        fits = upto < limit
-        return F.struct(
-            upto.alias("sum"),
-            F.when(fits, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
-            F.when(fits, upto).otherwise(acc["suffix"]).alias("suffix"),
-        )
-
-    unit = F.transform(
-        "_terms", lambda x: F.struct(x["id"].alias("id"), (x["raw"] / F.sqrt("_total")).alias("w"))
+    entry = F.struct(
+        "id",
+        (F.col("raw") / F.sqrt("_total")).alias("w"),
+        F.sqrt(F.col("_upto") / F.col("_total")).alias("upto"),
+        F.sqrt(F.greatest((F.col("_upto") - square) / F.col("_total"), F.lit(0.0))).alias("rest"),
     )
-    cut = grouped.select(
-        "key", "copies", F.aggregate("_terms", start, take_common).alias("_cut"), unit.alias("_unit")
-    )
-    n = F.col("_cut.n")
-    return cut.select(
+    terms = measured.groupBy("key", "copies").agg(F.sort_array(F.collect_list(entry)).alias("_all"))
+    return terms.select(
         "key",
         "copies",
-        F.slice("_unit", n + 1, F.size("_unit") - n).alias("prefix"),
-        F.sqrt("_cut.suffix").alias("suffix"),
-        F.sort_array("_unit").alias("_all"),
-    ).select("key", "copies", F.col("_all.id").alias("ids"), F.col("_all.w").alias("ws"), "prefix", "suffix")
+        F.col("_all.id").alias("ids"),
+        F.col("_all.w").alias("ws"),
+        F.filter("_all", lambda t: t["upto"] >= F.lit(threshold - 1e-9)).alias("prefix"),
+    )
