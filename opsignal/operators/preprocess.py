@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsignal.config import Config, DEFAULT
@@ -17,6 +20,10 @@ NOUN_ENDINGS = (
 )
 
 
+#: Rows of a lemma table that may be put into an expression.
+LEMMAS_IN_PLACE = 20_000
+
+
 def normalise_signals(
     df: DataFrame, cfg: Config = DEFAULT, exception_before_lower: bool = False
 ) -> DataFrame:
@@ -91,16 +98,57 @@ def with_lemmas(df: DataFrame, lemma: DataFrame, key: str = "signal_id") -> Data
     )
 
 
+@dataclass(frozen=True)
+class Lemmas:
+    """A lemma table as a literal: an array of small maps, a form's map being found by its hash."""
+
+    maps: Column
+    parts: int
+
+    def spell(self, tokens: Column) -> Column:
+        """Tokens by their lemmas: an expression over the row alone, in batch and stream."""
+
+        def one(w: Column) -> Column:
+            part = F.element_at(self.maps, (F.pmod(F.xxhash64(w), F.lit(self.parts)) + 1).cast("int"))
+            return F.when(w.endswith("s") | w.endswith("men"), F.coalesce(F.try_element_at(part, w), w)).otherwise(w)
+
+        return F.transform(tokens, one)
+
+
+def lemma_lookup(lemma: DataFrame, most: int = LEMMAS_IN_PLACE) -> Lemmas:
+    """``lemma(form, lemma)`` for use inside expressions; at most ``most`` rows, else ``ValueError``.
+
+    A larger table stays a table: give it to ``preprocess_signals`` as it is, which joins it (in a
+    stream, within a micro-batch).
+    """
+    part = F.xxhash64("form").alias("h")
+    rows = lemma.select("form", "lemma", part).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} lemmas: join them as a table")
+    parts = max(1, len(rows) // 4)
+    maps: list[dict] = [{} for _ in range(parts)]
+    for r in rows:
+        maps[r["h"] % parts][r["form"]] = r["lemma"]
+    return Lemmas(F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>"), parts)
+
+
 def preprocess_signals(
     df: DataFrame,
     text_column: str = "normalised_text",
-    lemma: DataFrame | None = None,
+    lemma: DataFrame | Lemmas | None = None,
     stop_words: list[str] | None = None,
+    key: str = "signal_id",
 ) -> DataFrame:
-    """Append ``tokens`` and ``preprocessed_text``; a projection unless lemmas are given."""
+    """Append ``tokens`` and ``preprocessed_text``; a projection unless a lemma table is to be joined by ``key``.
+
+    Texts from outside a corpus are to be given the corpus' lemmas, or their inflected words
+    meet none of its terms.
+    """
     out = with_tokens(df, text_column, stop_words)
-    if lemma is not None:
-        out = with_lemmas(out, lemma)
+    if isinstance(lemma, Lemmas):
+        out = out.withColumn("tokens", lemma.spell(F.col("tokens")))
+    elif lemma is not None:
+        out = with_lemmas(out, lemma, key)
     return out.withColumn("preprocessed_text", F.array_join("tokens", " "))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from opsignal.operators.tfidf import (
     text_vectors,
     unit_weights,
 )
-from opsignal.session import materialise
+from opsignal.session import materialise, new_path
 
 _SLACK = 1e-9
 
@@ -238,19 +239,49 @@ def ranked_pairs(pairs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class CorpusIndex:
-    """A corpus ready to be searched: written once, read by every query batch."""
+    """A corpus ready to be searched: tables written once, in buckets by what they are looked up by.
+
+    ``weights (term, key, weight)`` and ``idf (term, idf)`` by term, ``signals (key, signal_id, i)`` by
+    text key: the first ``depth`` signals of a text, in order.
+    """
 
     weights: DataFrame
     idf: DataFrame
     signals: DataFrame
+    depth: int
+
+
+#: Buckets of an index table; a lookup moves its questions to them and never the table.
+INDEX_BUCKETS = 64
+#: Most results that an index can be asked for.
+INDEX_DEPTH = 100
 
 
-def index_corpus(corpus: DataFrame, text_column: str = "preprocessed_text") -> CorpusIndex:
-    """Term weights and idf of the distinct texts, and the text key of every signal."""
+def _bucketed(df: DataFrame, label: str, by: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the shared folder, in sorted buckets."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    # one file a bucket: rows are dealt like the buckets are
+    dealt = df.repartition(buckets, by)
+    dealt.write.bucketBy(buckets, by).sortBy(by).option("path", new_path(spark, label)).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def index_corpus(
+    corpus: DataFrame, text_column: str = "preprocessed_text", depth: int = INDEX_DEPTH, buckets: int = INDEX_BUCKETS
+) -> CorpusIndex:
+    """Unit term weights and idf of the distinct texts, and the first ``depth`` signals of every text."""
     raw = materialise(similarity_weights(corpus, text_column), "weights")
-    idf = raw.groupBy("term", "df").agg(F.max(F.col("idf")).alias("idf"))
+    idf = raw.groupBy("term").agg(F.max("idf").alias("idf"))
     signals = corpus.select("signal_id", F.md5(text_column).alias("key"))
-    return CorpusIndex(unit_weights(raw, "key", F.col("raw")), idf, signals)
+    early = F.row_number().over(Window.partitionBy("key").orderBy("signal_id"))  # cut before the shuffle
+    signals = signals.withColumn("i", early).filter(F.col("i") <= depth)
+    return CorpusIndex(
+        _bucketed(unit_weights(raw, "key", F.col("raw")), "index_weights", "term", buckets),
+        _bucketed(idf, "index_idf", "term", buckets),
+        _bucketed(signals, "index_signals", "key", buckets),
+        depth,
+    )
 
 
 def top_k_similar(
@@ -258,10 +289,12 @@ def top_k_similar(
 ) -> DataFrame:
     """``(query, signal_id, similarity, rank)``: the ``k`` most similar corpus signals per query.
 
-    Both sides use the corpus' term weights. Scores are found per distinct text;
-    the cut to ``k`` texts happens before the shuffle, and of each text only its
-    first ``k`` signals can matter.
+    Both sides use the corpus' term weights. Scores are found per distinct text; the cut to ``k``
+    texts happens before the shuffle, and of each text only its first ``k`` signals can matter.
+    ``k`` is at most the index' depth.
     """
+    if k > index.depth:
+        raise ValueError(f"the index holds the first {index.depth} signals of a text")
     asked = (
         term_counts(queries, query_id, feature_terms(F.col(text_column)))
         .join(index.idf, "term")
@@ -273,12 +306,10 @@ def top_k_similar(
         .groupBy(query_id, "key")
         .agg(to_units(F.sum(F.col("weight") * F.col("w_q"))).alias("units"))
     )
-    first = index.signals.groupBy("key").agg(F.min("signal_id").alias("first_id"))
+    first = index.signals.filter("i = 1").select("key", F.col("signal_id").alias("first_id"))
     best_texts = Window.partitionBy(query_id).orderBy(F.desc("units"), "first_id")
     near = scores.join(first, "key").withColumn("_r", F.row_number().over(best_texts)).filter(F.col("_r") <= k)
-    ids = index.signals.join(near.select("key").distinct(), "key", "left_semi")
-    early = Window.partitionBy("key").orderBy("signal_id")
-    ids = ids.withColumn("_i", F.row_number().over(early)).filter(F.col("_i") <= k)
+    ids = index.signals.filter(F.col("i") <= k).select("key", "signal_id")
     order = Window.partitionBy(query_id).orderBy(F.desc("units"), "signal_id")
     return (
         near.select(query_id, "key", "units")

@@ -53,17 +53,35 @@ def text_pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return stage(spark, sf, "pairs", build)
 
 
+def tokens_and_lemmas(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Tokens of the document signals and the lemma table of their vocabulary, both written."""
+
+    def build():
+        raw = views.signals(spark, sf, "doc_signals")
+        normal = materialise(preprocess.with_tokens(preprocess.normalise_signals(raw)), "tokens")
+        return normal, materialise(preprocess.lemma_table(preprocess.vocabulary(normal)), "lemmas")
+
+    return stage(spark, sf, "tokens", build)
+
+
+def corpus_lemmas(spark: SparkSession, sf: str):
+    """The corpus' lemmas for texts from outside: in place if they are few enough, else the table."""
+    table = tokens_and_lemmas(spark, sf)[1]
+    return preprocess.lemma_lookup(table) if table.count() <= preprocess.LEMMAS_IN_PLACE else table
+
+
 def build_prepared(spark: SparkSession, sf: str) -> DataFrame:
     """Raw document signals through normalisation, lemmas, anomaly scores and predictions."""
     raw = views.signals(spark, sf, "doc_signals")
-    normal = materialise(preprocess.with_tokens(preprocess.normalise_signals(raw)), "tokens")
-    lemmas = preprocess.lemma_table(preprocess.vocabulary(normal))
+    normal, lemmas = tokens_and_lemmas(spark, sf)
     ready = preprocess.with_lemmas(normal, lemmas).withColumn(
         "preprocessed_text", F.array_join("tokens", " ")
     )
+    # The baseline is counts by hour, which need no lemmas.
+    baseline = anomaly.hourly_baseline(normal)
     predicted = views.predictions(raw).select("signal_id", "predicted_category", "confidence")
     return materialise(
-        anomaly.score_anomalies(ready)
+        anomaly.score_anomalies(ready, baseline)
         .join(predicted, "signal_id")
         .select(
             "signal_id", "source_type", "category", "timestamp", "incident_group", "text",

@@ -18,6 +18,7 @@ from opsignal.plans.corpus import (
     HEADERS,
     VECTORS,
     corpus_index,
+    corpus_lemmas,
     correlated,
     correlated_vectors,
     edges,
@@ -137,16 +138,17 @@ def m6(spark, sf):
 
 
 def asked(spark, sf):
-    """Benchmark texts, prepared like the corpus but for corpus lemmas."""
+    """Benchmark texts, prepared like the corpus and with its lemmas."""
     items = views.table(spark, sf, "benchmark").withColumn("normalised_text", T.normalise_text(F.col("text")))
-    return preprocess.preprocess_signals(items).select("item_id", "preprocessed_text")
+    ready = preprocess.preprocess_signals(items, lemma=corpus_lemmas(spark, sf), key="item_id")
+    return ready.select("item_id", "preprocessed_text")
 
 
 ASKED = (
     f"asked AS (SELECT item_id, {C.normalise('text')} AS normalised_text FROM benchmark)",
     f"""asked_terms AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest({C.feature_terms(
-      "array_to_string(" + C.kept_tokens(C.word_list('normalised_text')) + ", ' ')")}) AS term
- FROM asked) GROUP BY 1, 2)""",
+      "array_to_string(list_transform(" + C.kept_tokens(C.word_list('normalised_text')) + ", lambda w: coalesce(m[w], w)), ' ')")}) AS term
+ FROM asked, lemma_map) GROUP BY 1, 2)""",
     """asked_weights AS (SELECT item_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY item_id)) AS w
  FROM (SELECT item_id, t.term, tf * idf AS raw FROM asked_terms t JOIN idf i ON t.term = i.term))""",
     f"""near AS (SELECT item_id, m.signal_id, m.category, s.units, row_number() OVER (PARTITION BY item_id
