@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsignal.llm import textbuf
@@ -88,7 +89,10 @@ def fit_sample(labelled: DataFrame, text: str = "text", label: str = "lang") ->
 
 
 def _counted(sample: DataFrame, label: str) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """Distinct subword rows and their counts of each text of the sample, made on the executors."""
+    """Distinct subword rows and their counts of each text of the sample, made on the executors.
+
+    The driver keeps the Arrow buffers as they come, with a view of them for each text.
+    """
 
     def run(batches):
         for batch in batches:
@@ -100,16 +104,24 @@ def _counted(sample: DataFrame, label: str) -> list[tuple[str, np.ndarray, np.nd
                     r, c = np.unique(np.concatenate(own or [np.zeros(0, np.int64)]), return_counts=True)
                     rows.append(r.astype(np.int32))
                     counts.append(c.astype(np.int32))
+            bounds = pa.array(np.cumsum([0, *map(len, rows)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(x))) for x in (rows, counts)] if rows else [pa.array([], pa.list_(pa.int32()))] * 2
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(rows, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["label", "rows", "counts"],
+                [batch.column("label"), batch.column("key"), *lists], names=["label", "key", "rows", "counts"]
             )
 
-    found = sample.select(F.col(label).alias("label"), "text").mapInArrow(run, "label string, rows array<int>, counts array<int>")
+    key = F.xxhash64(label, "text").alias("key")
+    schema = "label string, key long, rows array<int>, counts array<int>"
+    found = sample.select(F.col(label).alias("label"), key, "text").mapInArrow(run, schema).toArrow().combine_chunks()
     # in a fixed order, so that a fit does not depend on how its rows arrive
-    found = found.toArrow().to_pylist()
-    found.sort(key=lambda r: (r["label"], r["rows"], r["counts"]))
-    return [(r["label"], np.array(r["rows"]), np.array(r["counts"], np.float32)) for r in found if r["rows"]]
+    order = pc.sort_indices(found, sort_keys=[("label", "ascending"), ("key", "ascending")]).to_numpy()
+    if not len(order):
+        return []
+    labels = found.column("label").to_pylist()
+    rows, counts = (found.column(c).chunk(0) for c in ("rows", "counts"))
+    at = rows.offsets.to_numpy()
+    rows, counts = rows.values.to_numpy(), counts.values.to_numpy()
+    return [(labels[i], rows[at[i] : at[i + 1]], counts[at[i] : at[i + 1]]) for i in order if at[i] < at[i + 1]]
 
 
 def fit(labelled: DataFrame, label: str = "lang", seed: int = 7) -> Model:
@@ -132,7 +144,7 @@ def fit(labelled: DataFrame, label: str = "lang", seed: int = 7) -> Model:
         lang, at, n = rows[used[step % len(used)]] if step % len(used) else rows[used[0]]
         if step % len(used) == 0:
             used = rng.permutation(used)
-        share = n / n.sum()
+        share = (n / n.sum()).astype(np.float32)
         mean = share @ embed[at]
         z = mean @ weights + bias
         p = np.exp(z - z.max())
