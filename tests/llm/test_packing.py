@@ -100,3 +100,48 @@ def test_place_takes_the_least_sum_of_squares():
         if got + size < 32:
             level.add(got + size, 0)
         fills = [f for f in fills if f < 32]
+
+
+def test_uneven_blanks_are_encoded_whole(tokenizer):
+    enc = packing.Encoder(queries.tokenizer_path())
+    texts = ["a  b", " a", "a ", "\ta b", "a\n b", "a \nb", "a\nb c", "é  ß", "x  y", "", "one two", "日本 語 one", "a\tb two two", "\x1c a", "a \x1f b"]
+    for _ in range(2):  # the second time from memory
+        for text, ids in zip(texts, enc.batch(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_memory_is_emptied_between_batches(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 3)
+    monkeypatch.setattr(packing, "TEXT_BYTES", 8)
+    enc = packing.Encoder(queries.tokenizer_path())
+    for text in ("one two three four five six", "six seven", "one one one", "tokenization of longer words"):
+        assert np.frombuffer(enc.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("sizes", ([600] * 5000, [600, 700, 30, 500] * 2000, [1023] * 3000))
+def test_open_windows_are_bounded_by_cutting(sizes):
+    packer, out, most = packing.Packer(1024, 64), [], 0
+    for row, size in enumerate(sizes):
+        out += packer.add(row, size)
+        most = max(most, len(packer.items))
+    before = len(out)
+    out += packer.finish()
+    assert most <= 65 and before > len(out) - 200
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for row, start, length, number, at in out:
+        pieces[row].append((start, length))
+        windows[number].append((at, length))
+    for row, size in enumerate(sizes):
+        at = 0
+        for start, length in sorted(pieces[row]):
+            assert start == at and length > 0
+            at += length
+        assert at == size
+    fills = []
+    for parts in windows.values():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        fills.append(at)
+    assert sum(f < 1024 for f in fills) <= 10 and all(f & (f - 1) == 0 for f in fills)
