@@ -56,6 +56,7 @@ class Links:
     cells: DataFrame
     edges: DataFrame
     cfg: Config
+    threshold: float
 
 
 def placed(df: DataFrame, key: Column, cfg: Config) -> DataFrame:
@@ -115,7 +116,7 @@ def link_signals(
         cells = materialise(build_cells(signals, cfg).join(vectors.select("key", "vid"), "key"), "cells")
         crossing = lexical_links(cells, vectors, threshold)
     linked = materialise(crossing.unionByName(same_text_links(cells)), "links")
-    return Links(signals, vectors, cells, count_pairs(linked, signals, cells, cfg), cfg)
+    return Links(signals, vectors, cells, count_pairs(linked, signals, cells, cfg), cfg, threshold)
 
 
 def lexical_links(cells: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
@@ -469,9 +470,11 @@ def feed(found: Correlation, categories) -> DataFrame:
 def threshold_sweep(links: Links, signals: DataFrame, thresholds) -> DataFrame:
     """Group quality for several thresholds from one set of scored links.
 
-    ``links`` must have been found for the lowest threshold. Signals are reduced to
-    counts per cell and incident once; every threshold only relabels cells.
+    ``links`` must have been found for the lowest threshold or one below. Signals are reduced
+    to counts per cell and incident once; every threshold only relabels cells.
     """
+    if min(thresholds) < links.threshold:
+        raise ValueError(f"links were found for {links.threshold}; below it they are incomplete")
     wanted = links.cells.select(*_CELL, "node")
     truth = materialise(
         links.signals.groupBy(*_CELL, "incident_group").agg(F.count("*").alias("n")).join(wanted, _CELL)

@@ -419,14 +419,16 @@ def j11(spark, sf):
     )
 
 
+_AVERAGES = f"""{C.mean_units(f"CAST(sum({C.units('confidence_score')}) AS BIGINT)", 'count(*)')} AS avg_confidence_score,
+ CAST((CAST(sum(signal_count) AS BIGINT) * 200 + count(*)) // (count(*) * 2) AS DOUBLE) / 100 AS avg_group_size,
+ CAST((CAST(sum(CAST(round(CAST(time_span_minutes AS DECIMAL(18,9)) * 100, 0) AS BIGINT)) AS BIGINT) * 2
+  + count(*)) // (count(*) * 2) AS DOUBLE) / 100 AS avg_time_span_minutes"""
+
+
 @query(
     "q_a13_group_summary",
     ON_GROUPS
-    + f"""SELECT count(*) AS groups, CAST(sum(signal_count) AS BIGINT) AS signals,
- {C.mean_units(f"CAST(sum({C.units('confidence_score')}) AS BIGINT)", 'count(*)')} AS avg_confidence_score,
- CAST((CAST(sum(signal_count) AS BIGINT) * 200 + count(*)) // (count(*) * 2) AS DOUBLE) / 100 AS avg_group_size,
- CAST((CAST(sum(CAST(round(CAST(time_span_minutes AS DECIMAL(18,9)) * 100, 0) AS BIGINT)) AS BIGINT) * 2
-  + count(*)) // (count(*) * 2) AS DOUBLE) / 100 AS avg_time_span_minutes FROM ranked""",
+    + f"""SELECT count(*) AS groups, CAST(sum(signal_count) AS BIGINT) AS signals, {_AVERAGES} FROM ranked""",
 )
 def a13(spark, sf):
     return evaluate.group_averages(correlated(spark, sf).groups)
@@ -515,11 +517,12 @@ _GROUP_METRICS = f"""{C.rnd(_P)} AS precision, {C.rnd(_R)} AS recall,
 @query(
     "q_e5_correlation_evaluation",
     ON_GROUPS
-    + f"""SELECT total_groups, perfect_groups, fragmented_groups, signals_in_groups, {_GROUP_METRICS}
- FROM {_group_truth('grouped')}""",
+    + f"""SELECT total_groups, perfect_groups, fragmented_groups, signals_in_groups, {_GROUP_METRICS}, v.*
+ FROM {_group_truth('grouped')}, (SELECT {_AVERAGES} FROM ranked) v""",
 )
 def e5(spark, sf):
-    return evaluate.evaluate_groups(correlated(spark, sf).members(), prepared(spark, sf))
+    found = correlated(spark, sf)
+    return evaluate.evaluate_correlation(found.members(), found.groups, prepared(spark, sf))
 
 
 @query(

@@ -12,7 +12,7 @@ from opsignal.plans import checksql as C
 from opsignal.plans.corpus import CORPUS, CORRELATED, VECTORS, correlated, prepared, stage, text_pairs
 from opsignal.plans.correlation import PAIRS, narrow_counts
 from opsignal.plans.registry import query
-from opsignal.plans.texts import PRE_EVENTS
+from opsignal.plans.texts import PRE_EVENTS, TOK_EVENTS
 from opsignal.session import materialise, new_path
 from opsignal.sources import signals as store, views
 
@@ -336,7 +336,46 @@ def e9(spark, sf):
     )
 
 
-@query("q_j15_compare_backends")
+_DESCRIBED = (
+    *TOK_EVENTS,
+    """described AS MATERIALIZED (SELECT t.*, array_to_string(tokens, ' ') AS preprocessed_text, embedding::DOUBLE[] AS v
+ FROM tokenised t JOIN embeddings ON signal_id = concat('EVT-', lpad(CAST(vec_id AS STRING), 8, '0')))""",
+)
+_COSINE = "list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))"
+
+
+def _weights_sql(source: str) -> tuple[str, ...]:
+    """Term weights fitted on ``source``, one vector per signal."""
+    return (
+        f"""fp AS (SELECT signal_id, term, count(*) AS tf FROM (SELECT signal_id,
+ unnest({C.feature_terms('preprocessed_text')}) AS term FROM {source}) GROUP BY 1, 2)""",
+        f"fi AS (SELECT term, ln((1.0 + (SELECT count(*) FROM {source})) / (1.0 + count(*))) + 1.0 AS idf FROM fp GROUP BY 1)",
+        """fw AS MATERIALIZED (SELECT signal_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY signal_id)) AS w
+ FROM (SELECT signal_id, fp.term, tf * idf AS raw FROM fp JOIN fi ON fp.term = fi.term))""",
+    )
+
+
+def _with_lexical_sql(pairs: str) -> str:
+    return f"""(SELECT p.*, coalesce(c, 0.0) AS c FROM {pairs} p LEFT JOIN (SELECT q.signal_a, q.signal_b, sum(x.w * y.w) AS c
+ FROM {pairs} q JOIN fw x ON x.signal_id = q.signal_a JOIN fw y ON y.signal_id = q.signal_b AND y.term = x.term GROUP BY 1, 2)
+ USING (signal_a, signal_b))"""
+
+
+@query(
+    "q_j15_compare_backends",
+    C.with_(
+        *_DESCRIBED,
+        *_weights_sql("described"),
+        f"""strata AS (SELECT *, CASE WHEN same_incident THEN 0 WHEN NOT same_category THEN 1 ELSE 2 END AS s FROM
+ (SELECT a.signal_id AS signal_a, b.signal_id AS signal_b, {C.rnd(_COSINE)} AS dense_score,
+ a.incident_group IS NOT DISTINCT FROM b.incident_group AS same_incident,
+ a.category IS NOT DISTINCT FROM b.category AS same_category FROM described a JOIN described b ON a.signal_id < b.signal_id))""",
+        """placed AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY dense_score DESC, signal_a, signal_b) AS r FROM strata)""",
+        """shown AS MATERIALIZED (SELECT * FROM placed WHERE r <= CASE s WHEN 2 THEN 8 ELSE 4 END ORDER BY s, r LIMIT 8)""",
+    )
+    + f"""SELECT signal_a, signal_b, {C.rnd('c')} AS tfidf_score, dense_score, same_incident, same_category
+ FROM {_with_lexical_sql('shown')}""",
+)
 def j15(spark, sf):
     return compare_backends(with_vectors(spark, sf), 8)
 
@@ -344,25 +383,32 @@ def j15(spark, sf):
 _FOCUS = ("INC-00000", "INC-00001")
 
 
+def _focus_sql(source: str, prefixes: tuple[str, ...], extra: str = "") -> tuple[str, ...]:
+    """Pairs of the chosen incidents: all of one incident, and the first six of different ones."""
+    chosen = " OR ".join(f"starts_with(incident_group, '{p}')" for p in prefixes)
+    pair = f"SELECT a.signal_id AS signal_a, b.signal_id AS signal_b{extra}"
+    met = "FROM focus a JOIN focus b ON a.signal_id < b.signal_id AND a.incident_group"
+    return (
+        f"focus AS MATERIALIZED (SELECT * FROM {source} WHERE {chosen})",
+        *_weights_sql("focus"),
+        f"""chosen AS MATERIALIZED ({pair}, true AS same_incident {met} = b.incident_group
+ UNION ALL SELECT * FROM ({pair}, false AS same_incident {met} <> b.incident_group ORDER BY 1, 2 LIMIT 6))""",
+    )
+
+
 @query(
     "q_j16_focus_comparison",
-    C.with_(
-        *CORPUS,
-        f"focus AS (SELECT * FROM corpus WHERE {' OR '.join(f'''starts_with(incident_group, '{p}')''' for p in _FOCUS)})",
-        f"""fp AS (SELECT signal_id, term, count(*) AS tf FROM (SELECT signal_id,
- unnest({C.feature_terms('preprocessed_text')}) AS term FROM focus) GROUP BY 1, 2)""",
-        """fi AS (SELECT term, ln((1.0 + (SELECT count(*) FROM focus)) / (1.0 + count(*))) + 1.0 AS idf FROM fp GROUP BY 1)""",
-        """fw AS (SELECT signal_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY signal_id)) AS w
- FROM (SELECT signal_id, fp.term, tf * idf AS raw FROM fp JOIN fi ON fp.term = fi.term))""",
-        """fs AS (SELECT a.signal_id AS signal_a, b.signal_id AS signal_b, sum(a.w * b.w) AS c FROM fw a JOIN fw b
- ON a.term = b.term AND a.signal_id < b.signal_id GROUP BY 1, 2)""",
-    )
-    + f"""SELECT a.signal_id AS signal_a, b.signal_id AS signal_b, {C.rnd('coalesce(c, 0.0)', 3)} AS similarity,
- true AS same_incident FROM focus a JOIN focus b ON a.incident_group = b.incident_group AND a.signal_id < b.signal_id
- LEFT JOIN fs ON signal_a = a.signal_id AND signal_b = b.signal_id
- UNION ALL SELECT * FROM (SELECT signal_a, signal_b, {C.rnd('c', 3)} AS similarity, false AS same_incident FROM fs
- JOIN focus a ON a.signal_id = signal_a JOIN focus b ON b.signal_id = signal_b
- WHERE a.incident_group <> b.incident_group ORDER BY signal_a, signal_b LIMIT 6)""",
+    C.with_(*CORPUS, *_focus_sql("corpus", _FOCUS))
+    + f"SELECT signal_a, signal_b, {C.rnd('c', 3)} AS similarity, same_incident FROM {_with_lexical_sql('chosen')}",
 )
 def j16(spark, sf):
     return focus_pairs(prepared(spark, sf), list(_FOCUS))
+
+
+@query(
+    "q_j16_focus_both_scores",
+    C.with_(*_DESCRIBED, *_focus_sql("described", ("INC-1",), f", {C.rnd(_COSINE, 3)} AS dense_score"))
+    + f"SELECT signal_a, signal_b, {C.rnd('c', 3)} AS similarity, dense_score, same_incident FROM {_with_lexical_sql('chosen')}",
+)
+def j16_both(spark, sf):
+    return focus_pairs(with_vectors(spark, sf), ["INC-1"])
