@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsignal.llm import (
-    convtrie, decontam, jaccard, langid, linededup, packing, quality, recompress, resample, secrets, sharding, toxicity, urlrules,
+    checksql, convtrie, decontam, jaccard, langid, linededup, packing, quality, recompress, resample, secrets, sharding, toxicity, urlrules,
 )
 from opsignal.llm.common import remainder, table
 
@@ -119,4 +119,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_importance_resampling, pipeline,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = checksql.SQL

@@ -54,3 +54,23 @@ def test_stages_on_odd_rows_and_none(spark, edge_docs, no_docs):
             assert docs_after.columns == docs.columns
             docs = docs_after
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()
+
+
+def test_columns_of_the_caller_come_through(spark):
+    from pyspark.sql import functions as F
+
+    own = {"score": 42, "N_Lines": 7, "Rejected": 1, "n_deleted": 3, "lang_pred": 5}
+    docs = common.table(spark, SF, "documents").limit(60).select("*", *[F.lit(v).alias(c) for c, v in own.items()])
+    docs = common.materialise(docs, "own")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("language", "lines"):
+        docs = common.materialise(stages[name](spark, docs, SF), name)
+        rows = docs.select(*own).distinct().collect()
+        assert [r.asDict() for r in rows] == [own]
+
+
+def test_empty_documents_stay_empty(spark):
+    docs = common.table(spark, SF, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.materialise(stage(spark, docs, SF), name)
+        assert docs.count() == 0
