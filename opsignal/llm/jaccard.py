@@ -151,9 +151,13 @@ def _block_counts(met: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among ``pairs`` by the overlap of the whole sets."""
+    """Links among ``pairs`` by the overlap of the whole sets.
+
+    In the turns with stars ``row2`` is the center, so that few sets are asked for on its side, and only those are sent.
+    """
     left = sets.select(F.col("row"), F.col("grams").alias("grams1"))
     right = sets.select(F.col("row").alias("row2"), F.col("grams").alias("grams2"))
+    right = right.join(pairs.select("row2").distinct(), "row2", "left_semi")
     both = pairs.join(left, "row").join(right, "row2")
     overlap = F.size(F.array_intersect("grams1", "grams2"))
     return both.select("row", "row2", "n", "n2", overlap.alias("i")).filter(
@@ -189,10 +193,13 @@ def _open_pairs(cells: DataFrame, roots: DataFrame | None, percent: int, turn: i
         other = live.select("gram", *[F.col(c).alias(f"{c}2") for c in ("row", "n", "pos", "class")])
         met = live.join(other, "gram").filter("row < row2 AND class <> class2").filter(_may_link(percent))
         pairs = _block_counts(met, percent)
-    return pairs.select(
-        F.least("row", "row2").alias("row"), F.greatest("row", "row2").alias("row2"),
-        F.expr("IF(row < row2, n, n2)").alias("n"), F.expr("IF(row < row2, n2, n)").alias("n2"),
-    ).distinct()
+    once = pairs.groupBy(
+        F.least("row", "row2").alias("low"), F.greatest("row", "row2").alias("high"),
+        F.expr("IF(row < row2, n, n2)").alias("n_low"), F.expr("IF(row < row2, n2, n)").alias("n_high"),
+    ).agg(F.max(F.expr("row < row2")).alias("up"))
+    return once.selectExpr(
+        "IF(up, low, high) AS row", "IF(up, high, low) AS row2", "IF(up, n_low, n_high) AS n", "IF(up, n_high, n_low) AS n2"
+    )
 
 
 def _sets_of(docs: DataFrame, asked: DataFrame, size: int) -> DataFrame:
@@ -235,11 +242,12 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     for turn in range(len(CENTERS) + 1):
         pairs = _open_pairs(cells, roots, percent, turn)
         if done is not None:
-            pairs = pairs.join(done, ["row", "row2"], "left_anti")
+            pairs = pairs.join(done, F.expr("low = least(row, row2) AND high = greatest(row, row2)"), "left_anti")
         pairs = materialise(pairs, "pairs")
         if done is not None and pairs.isEmpty():
             continue
-        done = pairs.select("row", "row2") if done is None else done.unionByName(pairs.select("row", "row2"))
+        seen = pairs.select(F.least("row", "row2").alias("low"), F.greatest("row", "row2").alias("high"))
+        done = seen if done is None else done.unionByName(seen)
         asked = pairs.select("row").unionByName(pairs.select(F.col("row2").alias("row"))).distinct()
         if sets is not None:
             asked = asked.join(sets.select("row"), "row", "left_anti")
