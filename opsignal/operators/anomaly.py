@@ -11,9 +11,16 @@ from opsignal.functions.rounding import round_half_up
 
 def hourly_baseline(df: DataFrame) -> DataFrame:
     """Exactly 24 rows ``(hour, count, mean, std)``; hours without signals count 0."""
-    spark = df.sparkSession
-    counts = df.groupBy("hour").agg(F.count("*").alias("n"))
-    spine = spark.range(0, 24, 1, 1).select(F.col("id").cast("int").alias("hour"))
+    return _baseline(df.groupBy("hour").agg(F.count("*").alias("n")))
+
+
+def baseline_of_hours(hours: DataFrame) -> DataFrame:
+    """The same from counts per clock hour ``(hour_start, signals)``, of any number of runs: their sums."""
+    return _baseline(hours.groupBy(F.hour("hour_start").alias("hour")).agg(F.sum("signals").alias("n")))
+
+
+def _baseline(counts: DataFrame) -> DataFrame:
+    spine = counts.sparkSession.range(0, 24, 1, 1).select(F.col("id").cast("int").alias("hour"))
     # 24 rows by construction, whatever the input size.
     whole = Window.partitionBy(F.lit(1))
     return (

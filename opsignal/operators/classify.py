@@ -1,28 +1,34 @@
 """Label index, training and prediction.
 
-Training is Spark ML's multinomial logistic regression. Prediction needs no model
-object in the tasks: the coefficients of the capped vocabulary are a small table,
-and class margins are sums over joined terms, all in native expressions.
+Training is Spark ML's multinomial logistic regression. Prediction is one expression over
+a row, in batch and stream alike: the capped vocabulary is a literal that finds a term by its
+hash, its coefficients are literal arrays, and class margins are sums over the terms of the row.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from opsignal.config import Config, DEFAULT
 from opsignal.functions.text import feature_terms, ngrams
 from opsignal.functions.rounding import round_half_up
 from opsignal.operators.ranking import stratified_split
 from opsignal.operators.similarity import resolve_backend
-from opsignal.operators.tfidf import TfidfModel, known_terms, sublinear, tfidf_fit
-from opsignal.session import materialise
+from opsignal.operators.tfidf import TfidfModel, sublinear, tfidf_fit
+from opsignal.session import materialise, new_path
+
+#: Terms or dimensions of a model up to which its numbers stand in the expression.
+MODEL_ROWS = 100_000
 
 
 def label_index(col: Column, cfg: Config = DEFAULT) -> Column:
@@ -42,19 +48,85 @@ class Classifier:
     max_ngram: int = 2
 
 
-def _sparse_features(df: DataFrame, model: TfidfModel, text_column: str, key: str) -> DataFrame:
-    """``features`` per row; a row without known terms gets the zero vector."""
-    size = model.vocab.count()  # at most max_features
-
-    @F.udf(VectorUDT())
-    def to_vector(pairs):
-        found = {p["idx"]: p["raw"] for p in pairs or []}
-        norm = sum(v * v for v in found.values()) ** 0.5
-        return Vectors.sparse(size, {i: v / norm for i, v in found.items()})
-
-    known = known_terms(df, model, text_column, key)
-    per_row = known.groupBy(key).agg(F.collect_list(F.struct("idx", "raw")).alias("_pairs"))
-    return df.join(per_row, key, "left").withColumn("features", to_vector("_pairs")).drop("_pairs")
+@dataclass(frozen=True)
+class Vocabulary:
+    """Terms as a literal, found by their hash, with their idf by number."""
+
+    maps: Column
+    parts: int
+    idf: Column
+    size: int
+    max_ngram: int
+
+    def weighted(self, df: DataFrame, text_column: str) -> DataFrame:
+        """``df`` with ``_raw``: ``(idx, raw)`` of the known terms of each row, by number, without a shuffle.
+
+        Numbers are sorted, so that the occurrences of a term are one run; a run's length is the
+        distance of its end from the end before.
+        """
+
+        def number(term: Column) -> Column:
+            part = F.element_at(self.maps, (F.pmod(F.xxhash64(term), F.lit(self.parts)) + 1).cast("int"))
+            return F.try_element_at(part, term)
+
+        def ended(p: Column, i: Column) -> Column:
+            return F.struct(p["before"].alias("idx"), i.alias("at"), (p["idx"].isNull() | (p["idx"] != p["before"])).alias("end"))
+
+        def raw(run: Column, before: Column) -> Column:
+            weight = sublinear(run["at"] - before) * F.element_at(self.idf, run["idx"] + 1)
+            return F.struct(run["idx"].alias("idx"), weight.alias("raw"))
+
+        terms = F.coalesce(ngrams(feature_terms(F.col(text_column)), self.max_ngram), F.array().cast("array<string>"))
+        found = df.withColumn("_ids", F.array_sort(F.filter(F.transform(terms, number), lambda x: x.isNotNull())))
+        beside = F.zip_with(
+            "_ids", F.concat(F.array(F.lit(-1)), "_ids"), lambda x, b: F.struct(x.alias("idx"), b.alias("before"))
+        )
+        ends = F.filter(F.transform(beside, ended), lambda r: r["end"] & (r["idx"] >= 0))
+        found = found.withColumn("_ends", ends).drop("_ids")
+        each = F.zip_with("_ends", F.concat(F.array(F.lit(0)), F.col("_ends")["at"]), raw)
+        return found.withColumn("_raw", F.filter(each, lambda r: r["idx"].isNotNull())).drop("_ends")
+
+
+def vocabulary_lookup(vocab: DataFrame, max_ngram: int) -> tuple[Vocabulary, list]:
+    """``vocab(term, idx, idf, ...)`` as a literal, and its rows in the order of ``idx``."""
+    rows = _model_rows(vocab.withColumn("_h", F.xxhash64("term")))
+    parts = max(1, len(rows) // 4)
+    maps: list[dict] = [{} for _ in range(parts)]
+    for r in rows:
+        maps[r["_h"] % parts][r["term"]] = r["idx"]
+    lookup = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+    return Vocabulary(lookup, parts, F.lit(np.array([r["idf"] for r in rows], float)), len(rows), max_ngram), rows
+
+
+def _model_rows(table: DataFrame) -> list:
+    """Rows of a model in the order of ``idx``, which counts from 0; ``MODEL_ROWS`` at most."""
+    rows = table.orderBy("idx").limit(MODEL_ROWS + 1).collect()
+    if len(rows) > MODEL_ROWS:
+        raise ValueError(f"a model of more than {MODEL_ROWS} terms or dimensions")
+    return rows
+
+
+def _norm(raw: Column) -> Column:
+    return F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, r: a + r["raw"] * r["raw"]))
+
+
+def _sparse_features(df: DataFrame, model: TfidfModel, text_column: str) -> DataFrame:
+    """``features, label`` per row, written; a row without known terms gets the zero vector.
+
+    The columns are written as the four fields of a sparse vector and read back as vectors.
+    """
+    lookup, _ = vocabulary_lookup(model.vocab, model.max_ngram)
+    norm = df.select("label", text_column).transform(lookup.weighted, text_column).withColumn("_norm", _norm(F.col("_raw")))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(lookup.size).alias("size"),
+        F.col("_raw")["idx"].alias("indices"),
+        F.transform(F.arrays_zip("_raw", F.array_repeat("_norm", F.size("_raw"))), lambda x: x["_raw"]["raw"] / x["1"]).alias("values"),
+    )
+    path = new_path(df.sparkSession, "features")
+    norm.select(vector.alias("features"), F.col("label").cast("double").alias("label")).write.parquet(path)
+    schema = StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def train_classifier(df: DataFrame, cfg: Config = DEFAULT, strength: float = 1.0):
@@ -95,8 +167,7 @@ def fit_classifier(
         return Classifier(used, labels[: fitted.numClasses], list(map(float, fitted.interceptVector)), terms)
     model = tfidf_fit(train, text_column, key, cfg)
     model = TfidfModel(materialise(model.vocab, "vocabulary"), model.max_ngram)
-    ready = _sparse_features(train.select(key, text_column, "label"), model, text_column, key)
-    fitted = train_classifier(materialise(ready.select("features", "label"), "features"), cfg)
+    fitted = train_classifier(_sparse_features(train, model, text_column), cfg)
     terms = materialise(
         model.vocab.join(F.broadcast(_coefficients(spark, fitted, len(labels))), "idx"), "coefficients"
     )
@@ -106,31 +177,24 @@ def fit_classifier(
 
 
 def _lexical_margins(model: Classifier, df: DataFrame, text_column: str, key: str) -> DataFrame:
-    """``(key, m0, m1, ...)`` of every row: sums over its known terms, combined map-side."""
-    terms = ngrams(feature_terms(F.col(text_column)), model.max_ngram)
-    exploded = df.select(key, F.explode_outer(terms).alias("term"))
-    # The vocabulary is capped, so the broadcast is bounded.
-    met = exploded.join(F.broadcast(model.terms), "term", "left")
-    counted = met.groupBy(key, "idx", "idf", "coef").agg(F.count("*").alias("tf"))
-    raw = F.when(F.col("idx").isNotNull(), sublinear(F.col("tf")) * F.col("idf"))
-    weighted = counted.withColumn("raw", raw)
-    sums = [
-        F.sum(F.col("raw") * F.element_at("coef", i + 1)).alias(f"s{i}") for i in range(len(model.labels))
-    ]
-    per_row = weighted.groupBy(key).agg(F.sum(F.col("raw") * F.col("raw")).alias("norm"), *sums)
-    margins = [
-        (F.lit(b) + F.coalesce(F.col(f"s{i}") / F.sqrt("norm"), F.lit(0.0))).alias(f"m{i}")
-        for i, b in enumerate(model.intercepts)
-    ]
-    return per_row.select(key, *margins)
+    """``(key, m0, m1, ...)`` of every row: sums over its known terms."""
+    lookup, rows = vocabulary_lookup(model.terms, model.max_ngram)
+    known = lookup.weighted(df.select(key, text_column), text_column)
+
+    def margin(i: int, b: float) -> Column:
+        coef = F.lit(np.array([r["coef"][i] for r in rows], float))
+        total = F.aggregate("_raw", F.lit(0.0), lambda a, r: a + r["raw"] * F.element_at(coef, r["idx"] + 1))
+        return F.lit(b) + F.when(F.size("_raw") > 0, total / F.col("_norm")).otherwise(F.lit(0.0))
+
+    known = known.withColumn("_norm", _norm(F.col("_raw")))
+    return known.select(key, *(margin(i, b).alias(f"m{i}") for i, b in enumerate(model.intercepts)))
 
 
 def _dense_margins(model: Classifier, df: DataFrame, vector: str, key: str) -> DataFrame:
-    # One row per vector dimension: bounded by the width of the model.
-    rows = model.terms.orderBy("idx").collect()
+    rows = _model_rows(model.terms)
 
     def margin(i: int, b: float) -> Column:
-        weights = F.array(*(F.lit(float(r["coef"][i])) for r in rows))
+        weights = F.lit(np.array([r["coef"][i] for r in rows], float))
         products = F.zip_with(F.col(vector), weights, lambda x, w: x * w)
         return (F.lit(b) + F.aggregate(products, F.lit(0.0), lambda a, x: a + x)).alias(f"m{i}")
 
@@ -144,7 +208,10 @@ def predict(
     vector: str = "embedding",
     key: str = "signal_id",
 ) -> DataFrame:
-    """``(key, predicted_category, confidence, all_probabilities, backend_used)`` per row."""
+    """``(key, predicted_category, confidence, all_probabilities, backend_used)`` per row.
+
+    A projection: ``df`` may be a stream. A null or unknown text gets the class of the largest intercept.
+    """
     if model.backend == "dense":
         margins = _dense_margins(model, df, vector, key)
     else:

@@ -1,9 +1,14 @@
+import math
+import re
+from collections import Counter
+
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from opsignal.config import CATEGORIES
 from opsignal.operators import classify, evaluate
+from opsignal.streaming import score
 
 WORDS = {c: c.lower() for c in CATEGORIES}
 
@@ -50,6 +55,39 @@ def test_native_margins_equal_the_fitted_model(spark, frame):
     assert all(abs(got[k] - want[k]) < 2e-4 for k in want)
 
 
+def test_lexical_margins_equal_plain_sums(spark, frame):
+    model, held_out = classify.train_pipeline(frame, "lexical")
+    terms = {r["term"]: r for r in model.terms.collect()}
+    texts = dict(held_out.select("signal_id", "preprocessed_text").collect())
+    texts |= {"again": "host1 host1 seen host1 seen on", "none": "zzz", "empty": "", "null": None}
+    rows = spark.createDataFrame(list(texts.items()), "signal_id string, preprocessed_text string")
+    said = {r["signal_id"]: r["all_probabilities"] for r in classify.predict(model, rows).collect()}
+    for key, text in texts.items():
+        words = re.findall(r"\w{2,}", (text or "").lower())
+        tf = Counter(t for t in words + [f"{a} {b}" for a, b in zip(words, words[1:])] if t in terms)
+        raw = {t: (1 + math.log(n)) * terms[t]["idf"] for t, n in tf.items()}
+        norm = math.sqrt(sum(v * v for v in raw.values())) or 1.0
+        margins = [b + sum(v / norm * terms[t]["coef"][i] for t, v in raw.items()) for i, b in enumerate(model.intercepts)]
+        total = sum(math.exp(m) for m in margins)
+        for label, m in zip(model.labels, margins):
+            assert abs(said[key][label] - math.exp(m) / total) < 1e-4
+
+
+def test_prediction_is_a_projection_in_batch_and_stream(spark, frame, tmp_path):
+    model, held_out = classify.train_pipeline(frame, "lexical")
+    said = classify.predict(model, held_out)
+    plan = said._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(x in plan for x in ("Aggregate [", "Join", "Generate", "from_json", "JsonToStructs"))
+    folder = str(tmp_path / "arriving")
+    held_out.select("signal_id", "preprocessed_text").write.parquet(folder)
+    arriving = spark.readStream.schema("signal_id string, preprocessed_text string").parquet(folder)
+    streamed = score.classify_stream(arriving, model, str(tmp_path / "kept"))
+    want = said.select("signal_id", "predicted_category", "confidence")
+    assert sorted(streamed.collect()) == sorted(want.collect())
+    held_out.limit(3).select("signal_id", "preprocessed_text").coalesce(1).write.mode("append").parquet(folder)
+    assert score.classify_stream(arriving, model, str(tmp_path / "kept")).count() == held_out.count() + 3
+
+
 def test_unknown_text_still_gets_a_prediction(spark, frame):
     model, _ = classify.train_pipeline(frame, "lexical")
     other = spark.createDataFrame([("X", "zzz qqq"), ("Y", "")], "signal_id string, preprocessed_text string")

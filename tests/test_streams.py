@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from opsignal.operators import timewindow
+from opsignal.operators import anomaly, timewindow
 from opsignal.session import new_path
 from opsignal.sources import signals as store
 from opsignal.streaming import edges, score
@@ -79,6 +79,18 @@ def test_state_is_bounded_by_the_window(spark):
     assert max(left) < 25 * 2 * 4 * 3
 
 
+def test_baseline_of_two_runs_equals_the_batch_one(spark):
+    rows = made(6, 40)
+    folder, kept = new_path(spark, "input"), new_path(spark, "kept")
+    for part in (rows[:140], rows[140:]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        found = score.stream_baseline(stream(spark, folder), kept)
+    final = rows[-1][2] - datetime.timedelta(minutes=30)
+    past = [r for r in rows if r[2].replace(minute=0, second=0, microsecond=0) + datetime.timedelta(hours=1) <= final]
+    batch = anomaly.hourly_baseline(spark.createDataFrame(past, SCHEMA).withColumn("hour", F.hour("timestamp")))
+    assert len(past) < len(rows) and sorted(found.collect()) == sorted(batch.collect())
+
+
 def test_batch_edges_equal_a_plain_count(spark):
     rows = made(3)
     found = timewindow.cell_edges(spark.createDataFrame(rows, SCHEMA), ["category"])
