@@ -8,7 +8,7 @@ similarities follow from cells and counts without listing signal pairs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -283,11 +283,43 @@ def count_pairs(linked: DataFrame, signals: DataFrame, cells: DataFrame, cfg: Co
 
 def group_labels(links: Links) -> DataFrame:
     """``(node, root)`` for every cell that belongs to a group of at least two signals."""
-    joined = connected_components(links.edges.select(F.col("early").alias("src"), F.col("late").alias("dst")))
+    return _with_single_cells(links, connected_components(_ends(links.edges)))
+
+
+def _ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("early").alias("src"), F.col("late").alias("dst"))
+
+
+def _with_single_cells(links: Links, joined: DataFrame) -> DataFrame:
     alone = links.cells.filter("n > 1").join(joined, "node", "left_anti")
     return joined.unionByName(alone.select("node", F.col("node").alias("root")))
 
 
+def nested_labels(links: Links, thresholds) -> dict[float, DataFrame]:
+    """``group_labels`` at each threshold, from one pass over the links.
+
+    Groups at a lower threshold are unions of those at a higher one. From the highest down, only
+    the links between two thresholds are looked at, with the groups so far as their ends, so that a link
+    enters the components once, and those inside a group not at all.
+    """
+    out, upto, labels = {}, None, None
+    for t in sorted(set(thresholds), reverse=True):
+        new = F.col("cosine") >= t
+        ends = _ends(links.edges.filter(new if upto is None else new & (F.col("cosine") < upto)))
+        if labels is not None:
+            for side_of in ("src", "dst"):
+                to = labels.select(F.col("node").alias(side_of), "root")
+                ends = ends.join(to, side_of, "left").withColumn(side_of, F.coalesce("root", side_of)).drop("root")
+        merged = connected_components(ends)
+        if labels is not None:
+            onto = merged.select(F.col("node").alias("root"), F.col("root").alias("onto"))
+            moved = labels.join(onto, "root", "left").select("node", F.coalesce("onto", "root").alias("root"))
+            merged = moved.unionByName(merged.join(labels, "node", "left_anti"))
+        labels, upto = materialise(merged, "labels"), t
+        out[t] = _with_single_cells(links, labels)
+    return out
+
+
 def group_headers(links: Links, labels: DataFrame) -> DataFrame:
     """One row per group: size, span, sources, similarity, anomaly, confidence.
 
@@ -471,7 +503,7 @@ def threshold_sweep(links: Links, signals: DataFrame, thresholds) -> DataFrame:
     """Group quality for several thresholds from one set of scored links.
 
     ``links`` must have been found for the lowest threshold or one below. Signals are reduced
-    to counts per cell and incident once; every threshold only relabels cells.
+    to counts per cell and incident once; every threshold only relabels cells (``nested_labels``).
     """
     if min(thresholds) < links.threshold:
         raise ValueError(f"links were found for {links.threshold}; below it they are incomplete")
@@ -481,10 +513,9 @@ def threshold_sweep(links: Links, signals: DataFrame, thresholds) -> DataFrame:
         .select("node", "incident_group", "n"),
         "truth",
     )
-    rows = []
+    rows, labels = [], nested_labels(links, thresholds)
     for t in thresholds:
-        kept = replace(links, edges=links.edges.filter(F.col("cosine") >= t))
-        labelled = truth.join(group_labels(kept), "node")
+        labelled = truth.join(labels[t], "node")
         rows.append(
             evaluate_group_counts(
                 labelled.groupBy("root", "incident_group").agg(F.sum("n").alias("n")), signals, "root"

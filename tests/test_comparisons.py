@@ -95,3 +95,22 @@ def test_a_sweep_below_the_links_is_refused(spark):
     assert correlate.threshold_sweep(links, df, [0.3, 0.5]).count() == 2
     with pytest.raises(ValueError, match="below it"):
         correlate.threshold_sweep(links, df, [0.5, 0.2])
+
+
+def test_nested_labels_equal_components_of_each_threshold(spark):
+    rng = random.Random(5)
+    edges = [(a, b, rng.choice([0.3, 0.5, 0.7, 0.9])) for a, b in (rng.sample(range(60), 2) for _ in range(70))]
+    cells = spark.createDataFrame([(i, 1 + i % 2) for i in range(64)], "node bigint, n bigint")
+    found = spark.createDataFrame(edges, "early bigint, late bigint, cosine double")
+    links = correlate.Links(None, None, cells, found, None, 0.3)
+    nested = correlate.nested_labels(links, [0.5, 0.95, 0.3, 0.7])
+    assert set(nested) == {0.5, 0.95, 0.3, 0.7}
+    for t, labels in nested.items():
+        root = list(range(64))
+        for _ in range(64):
+            for a, b, s in edges:
+                if s >= t:
+                    root[a] = root[b] = min(root[a], root[b])
+        linked = {x for a, b, s in edges if s >= t for x in (a, b)}
+        want = sorted((i, root[i]) for i in range(64) if i in linked or i % 2)
+        assert sorted(map(tuple, labels.collect())) == want
