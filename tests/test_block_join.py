@@ -1,10 +1,12 @@
-"""Sparse vectors multiplied block by block: texts of a corpus."""
+"""Sparse vectors multiplied block by block: texts of a corpus, and cells of a category close in time."""
+
+import random
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from opsignal.operators import similarity
+from opsignal.operators import correlate, similarity
 from test_sparse_join import SCHEMA, made, plain
 
 
@@ -39,3 +41,27 @@ def test_texts_meet_in_blocks_and_not_in_postings(spark, monkeypatch, block_rows
     assert all(r["key_a"] < r["key_b"] for r in rows) and all(abs(got[k] - s) < 1e-9 for k, s in want.items())
     nothing = vectors.filter("key = ''")
     assert similarity.similar_texts(nothing, 0.25).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", (2, 1024))
+def test_cells_meet_inside_category_and_touching_buckets(spark, block_rows):
+    rng = random.Random(4)
+    texts = made(40)
+    df = spark.createDataFrame([(f"S{i:04}", t) for i, t in enumerate(texts)], SCHEMA)
+    vectors = similarity.index_vectors(df, 0.25)
+    key = {r["key"]: int(r["first_id"][1:]) for r in similarity.text_members(df).collect()}
+    vid = {key[r["key"]]: r["vid"] for r in vectors.collect()}
+    places = sorted({(rng.randrange(len(texts)), rng.choice("xy"), rng.choice((1, 2, 3, 9))) for _ in range(120)})
+    rows = [(n, c, b, vid[t], 1, *sorted((rng.randrange(9), rng.randrange(9)))) for n, (t, c, b) in enumerate(places)]
+    cells = spark.createDataFrame(rows, "node long, predicted_category string, bucket long, vid long, n long, lo long, hi long")
+    found = correlate.lexical_links(cells, vectors, 0.25, block_rows).collect()
+    close = plain(texts, 0.25)
+    want = {}
+    for a, (t, c, b) in enumerate(places):
+        for z, (u, d, e) in enumerate(places):
+            score = close.get((min(t, u), max(t, u)))
+            if score and c == d and (e == b and a < z or e == b + 1 and rows[z][5] <= rows[a][6]):
+                want[a, z] = (score, e != b)
+    got = {(r["early"], r["late"]): (r["cosine"], r["adjacent"]) for r in found}
+    assert len(found) == len(got) and set(got) == set(want)
+    assert all(abs(got[k][0] - s) < 1e-9 and got[k][1] == f for k, (s, f) in want.items())
