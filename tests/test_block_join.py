@@ -65,3 +65,31 @@ def test_cells_meet_inside_category_and_touching_buckets(spark, block_rows):
     got = {(r["early"], r["late"]): (r["cosine"], r["adjacent"]) for r in found}
     assert len(found) == len(got) and set(got) == set(want)
     assert all(abs(got[k][0] - s) < 1e-9 and got[k][1] == f for k, (s, f) in want.items())
+
+
+def test_named_pairs_need_no_join_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "ROWS_AT_ONCE", 5)
+    texts = made()
+    texts += texts[:9]
+    df = spark.createDataFrame([(f"S{i:04}", t) for i, t in enumerate(texts)], SCHEMA)
+    vectors, members = similarity.index_vectors(df, 0.25, prefix=False), similarity.text_members(df)
+    assert "prefix" not in vectors.columns
+    found = similarity.similar_named(vectors, members, 0.25, block_rows=20)
+    # Names travel with the vectors: vectors and names, then blocks.
+    assert found.filter("signal_a <> signal_b")._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 2
+    plain_way = similarity.named_pairs(similarity.similar_texts(vectors, 0.25), vectors, members)
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == sorted(map(tuple, plain_way.collect())) and any(r[0] == r[1] for r in rows)
+
+
+def test_pieces_of_a_block_are_multiplied_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "ROWS_AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    rows = [(f"s{i:03}", rng.normal(size=4).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "signal_id string, embedding array<double>")
+    got = {(r["signal_a"], r["signal_b"]) for r in similarity.dense_similar_pairs(df, 0.3, block_rows=30).collect()}
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    assert got == {(rows[x][0], rows[y][0]) for x, y in zip(*np.nonzero(unit @ unit.T >= 0.3)) if x < y}
+    monkeypatch.undo()
+    assert [similarity.block_count(n, 8192) for n in (0, 5000, 30_000, 100_000)] == [1, 3, 4, 13]
