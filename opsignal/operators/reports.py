@@ -115,13 +115,18 @@ def best_category(scored: DataFrame) -> DataFrame:
     return means.withColumn("best", F.rank().over(top) == 1)
 
 
+def _values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values, so that sets are compared by value and no row of a frequent one meets another."""
+    return df.select(F.col(column).alias("value")).distinct()
+
+
 def only_left(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """Distinct values of ``column`` in ``left`` that ``right`` lacks; nulls compare equal."""
-    return left.select(F.col(column).alias("value")).subtract(right.select(F.col(column).alias("value")))
+    return _values(left, column).subtract(_values(right, column))
 
 
 def in_both(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
-    return left.select(F.col(column).alias("value")).intersect(right.select(F.col(column).alias("value")))
+    return _values(left, column).intersect(_values(right, column))
 
 
 def confidence_histogram(groups: DataFrame, bins: int = 14) -> DataFrame:
