@@ -77,7 +77,7 @@ class Vocabulary:
             return F.struct(run["idx"].alias("idx"), weight.alias("raw"))
 
         terms = F.coalesce(ngrams(feature_terms(F.col(text_column)), self.max_ngram), F.array().cast("array<string>"))
-        found = df.withColumn("_ids", F.array_sort(F.filter(F.transform(terms, number), lambda x: x.isNotNull())))
+        found = df.withColumn("_ids", F.sort_array(F.filter(F.transform(terms, number), lambda x: x.isNotNull())))
         beside = F.zip_with(
             "_ids", F.concat(F.array(F.lit(-1)), "_ids"), lambda x, b: F.struct(x.alias("idx"), b.alias("before"))
         )
