@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from opsignal.config import Config
 from opsignal.functions import text as T
-from opsignal.operators import classify, reports, tfidf
+from opsignal.operators import classify, preprocess, reports, tfidf
 from opsignal.sources import views
 
 
@@ -62,3 +62,10 @@ def test_known_terms_are_sorted_without_a_comparison_function(spark):
     found = lookup.weighted(spark.createDataFrame([("bb aa bb",)], "t string"), "t")
     assert [(r["idx"], round(r["raw"], 6)) for r in found.first()["_raw"]] == [(0, 1.0), (1, round(2 * (1 + math.log(2)), 6))]
     assert "array_sort" not in found._jdf.queryExecution().analyzed().toString().lower().replace("sort_array", "")
+
+
+def test_a_lemma_table_reads_its_texts_once(spark):
+    texts = spark.createDataFrame([("S1", "hosts host boxes box"), ("S2", "cases case classes")], "signal_id string, normalised_text string")
+    table = preprocess.lemma_table(preprocess.vocabulary(preprocess.with_tokens(texts)))
+    assert dict(table.collect()) == {"hosts": "host", "boxes": "box", "cases": "case"}
+    assert "split(" not in plan(table)
