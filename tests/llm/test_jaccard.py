@@ -84,3 +84,37 @@ def test_common_columns_come_last(spark):
     rows = [(i, "a b c d e f g") for i in range(5)] + [(9, "h i j k l m n o")]
     common_ = jaccard.common_columns(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 5)
     assert len(common_) == 3
+
+
+def test_blocks_of_columns(spark, monkeypatch):
+    """Cells travel in a few bytes; pairs are counted over all blocks, columns of many rows come out as they are."""
+    monkeypatch.setattr(jaccard, "PACKED", 64)
+    rng = random.Random(3)
+    texts = {i: " ".join(rng.choices([f"w{k}" for k in range(40)], k=200)) for i in range(60)}
+    texts |= {100 + i: texts[i].replace("w7 ", "x ", 1) for i in range(20)}
+    texts |= {200 + i: f"one two three four five six" for i in range(40)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    inc = jaccard.incidence(df, 5, 80, jaccard.common_columns(df, 5)).selectExpr("doc_id AS row", "n", "prefix")
+    prefixes = {r["row"]: (r["n"], set(r["prefix"])) for r in inc.collect()}
+    cells = sum(len(p) for _, p in prefixes.values())
+    packs = jaccard.packed_cells(inc.coalesce(1), 2).collect()
+    assert sum(p["cells"] for p in packs) == cells
+    assert sum(len(p[c]) for p in packs for c in ("columns", "rows", "sizes", "places")) < 10 * cells
+
+    where = {}
+    for row, (_, grams) in prefixes.items():
+        for g in grams:
+            where.setdefault(g, []).append(row)
+    shared = {}
+    for rows in where.values():
+        if len(rows) <= jaccard.FEW:
+            for a in rows:
+                for b in rows:
+                    (n, _), (n2, _) = prefixes[a], prefixes[b]
+                    if a < b and 100 * min(n, n2) >= 80 * max(n, n2):
+                        shared[a, b, n, n2] = shared.get((a, b, n, n2), 0) + 1
+    few, large = jaccard.met_columns(inc, 80, cells)
+    assert {tuple(r)[:4]: r["shared"] for r in few.select("row", "row2", "n", "n2", "shared").collect()} == shared
+    many = [len(rows) for rows in where.values() if len(rows) > jaccard.FEW]
+    assert many and large.count() == sum(many)
+    assert run(df) == brute(list(texts.items()))
