@@ -24,13 +24,13 @@ SYMBOLS = "#*$%&|<>"
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 _SPACE = r"[\x20\x09-\x0D]+"
 
-#: Rule -> (share, least cutoff). The cutoffs are least * (1 / least) ** (level / LEVELS), level 0 to LEVELS.
+#: Rule -> (share, least cutoff); a share without a denominator is null. The cutoffs are least * (1 / least) ** (level / LEVELS), level 0 to LEVELS.
 RULES = {
-    "symbols": ("n_symbols / word_chars", 0.002),
-    "repeats": ("n_repeat_words / n_words", 0.01),
-    "dup_lines": ("n_dup_lines / n_lines", 0.01),
-    "capitals": ("n_capitals / word_chars", 0.02),
-    "short_words": ("n_words / word_chars", 0.05),
+    "symbols": ("try_divide(n_symbols, word_chars)", 0.002),
+    "repeats": ("try_divide(n_repeat_words, n_words)", 0.01),
+    "dup_lines": ("try_divide(n_dup_lines, n_lines)", 0.01),
+    "capitals": ("try_divide(n_capitals, word_chars)", 0.02),
+    "short_words": ("try_divide(n_words, word_chars)", 0.05),
 }
 
 

@@ -46,6 +46,18 @@ def test_quality_edges(spark, edge_docs, no_docs):
     assert len(quality.judge(edge_docs, labels.limit(0)).collect()) == edge_docs.count()
 
 
+def test_blank_texts_beside_cutoffs(spark):
+    """A stratum with cutoffs judges texts without words too: their shares have no denominator."""
+    plain = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, f"{plain} {i}", "en") for i in range(1500)] + [(i, f"{plain} {i} " + "#" * 200, "en") for i in range(1500, 1600)]
+    rows += [(2000, "", "en"), (2001, " \n", "en"), (2002, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 1500)) for i in range(1600)], "doc_id long, quality int")
+    found = {r["doc_id"]: r for r in quality.judge(docs, labels).collect()}
+    assert all(found[i]["base_failed"] and not found[i]["kept"] and found[i]["failed_rules"] == "" for i in (2000, 2001, 2002))
+    assert found[0]["kept"] and "symbols" in found[1500]["failed_rules"]
+
+
 @pytest.mark.parametrize("n,p", [(50, 0.01), (600, 0.01), (5000, 0.05), (80_000, 0.01)])
 def test_binomial_is_exact(spark, n, p):
     ks = sorted({0, 1, 2, int(n * p) // 2, max(0, int(n * p) - 1), int(n * p) + 1})
