@@ -55,14 +55,28 @@ def test_similar_blocks_equal_plain_scores(spark, block_rows, terms):
     assert got == want and any(a == b for a, b, _ in got)
 
 
-def test_pairs_of_blocks_shuffle_nothing(spark):
+def test_pairs_of_blocks_shuffle_blocks_once(spark):
     df = spark.createDataFrame(made(), SCHEMA).repartition(3)
-    found = packed.similar_blocks(packed.text_blocks(df, similarity.text_members(df), block_rows=9), 0.25)
+    blocks = packed.text_blocks(df, similarity.text_members(df), block_rows=9)
+    found = packed.similar_blocks(blocks, 0.25)
+    found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" in plan and "Exchange" not in plan
-    # The whole query shuffles members only, never vectors.
-    plan = similarity.similar_pairs(df, 0.25).filter("signal_a <> signal_b")._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" in plan and "FlatMapGroupsInPandas" not in plan
+    assert "CartesianProduct" in plan and "hashpartitioning" not in plan
+    # The other side reads the same shuffle.
+    assert plan.split("Initial Plan")[0].count("ReusedExchange") == 1
+    # Each pair of blocks once.
+    met = packed.pairs_of_blocks(blocks).select(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).collect()
+    n = blocks.count()
+    assert n > 8 and len(set(met)) == len(met) == n * (n + 1) // 2
+
+
+def test_the_index_has_each_text_once(spark):
+    rows = [(f"S{i}", t, None) for i, t in enumerate(["one two two", "one two two", "two three", "", "one two two"])]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4, "signal_id")
+    index = similarity.index_corpus(df, depth=2, buckets=2)
+    assert sorted(r["tf"] for r in index.weights.collect()) == [1, 1, 1, 2]
+    assert sorted((r["signal_id"], r["i"]) for r in index.signals.collect()) == [("S0", 1), ("S1", 2), ("S2", 1)]
+    assert set(index.weights.columns) == {"id", "vid", "tf"} and index.idf.count() == 3
 
 
 @pytest.mark.parametrize("block_rows", (9, 2048))
@@ -112,7 +126,8 @@ def test_packed_cells_meet_like_dealt_ones(spark, block_rows):
     vectors = similarity.index_vectors(df, 0.25)
     cells = links.cells.join(vectors.select("key", "vid"), "key")
     assert cells.count() == links.cells.count()
-    packs = correlate.pack_cells(links.cells, block_rows)
+    texts = df.select(F.md5("preprocessed_text").alias("key"), F.col("preprocessed_text").alias("cell_text")).distinct()
+    packs = correlate.pack_cells(links.cells.join(texts, "key"), block_rows)
     found = correlate.packed_links(packed.with_idf(packs, df), 0.25)
     columns = ["early", "late", "n_e", "n_l", "lo_e", "hi_e", "lo_l", "hi_l", "adjacent", F.round("cosine", 9).alias("cosine")]
     want = sorted(map(tuple, correlate.lexical_links(cells, vectors, 0.25).select(*columns).collect()))
@@ -123,8 +138,8 @@ def test_neighbouring_buckets_share_a_block(spark):
     start = datetime.datetime(2024, 1, 1)
     rows = [(f"S{i:03}", f"word{i} same", "a", start + datetime.timedelta(minutes=30 * i), "log") for i in range(40)]
     df = spark.createDataFrame(rows, "signal_id string, preprocessed_text string, predicted_category string, timestamp timestamp, source_type string")
-    cells = correlate.link_signals(df, 0.25).cells
-    packs = correlate.pack_cells(cells, 10)
+    texts = df.select(F.md5("preprocessed_text").alias("key"), F.col("preprocessed_text").alias("cell_text"))
+    packs = correlate.pack_cells(correlate.link_signals(df, 0.25).cells.join(texts, "key"), 10)
     # 40 texts in four blocks; the ends of two blocks meet in one more.
     assert sum(len(r["sizes"]) // 4 for r in packs.collect()) == 40 + 3 * 2
 
